@@ -447,8 +447,18 @@ def _grade(score: Column, limit: float, below: str) -> Column:
 class Tier:
     """Aggregates and check rows of one readiness tier; tiers share a single scan."""
 
-    def __init__(self, name: str, passing: float, aggs: dict[str, Column], rows: list[tuple[str, Column, Column]]):
+    def __init__(
+        self,
+        name: str,
+        passing: float,
+        aggs: dict[str, Column],
+        rows: list[tuple[str, Column, Column]],
+        before: dict[str, Column] | None = None,
+        after: dict[str, Column] | None = None,
+    ):
         self.name, self.passing, self.aggs, self.rows = name, passing, aggs, rows
+        #: scalar subqueries needed on the rows, and on the single aggregate row
+        self.before, self.after = before or {}, after or {}
 
 
 def tier_completeness(df: DataFrame, minimum: int = 1000) -> Tier:
@@ -507,11 +517,11 @@ def tier_distribution(df: DataFrame) -> Tier:
 
     rows = [
         row("credit_score_distribution", F.col("t3_score").between(600, 750), 60.0),
-        row("loan_amount_distribution", median.between(10000, 500000), 70.0),
+        row("loan_amount_distribution", F.col("t3_median").between(10000, 500000), 70.0),
         row("dpd_distribution", F.col("t3_current") >= 80, 60.0),
         row("interest_rate_distribution", F.col("t3_rate").between(0.01, 0.15), 50.0),
     ]
-    return Tier("distribution_validation", 80.0, aggs, rows)
+    return Tier("distribution_validation", 80.0, aggs, rows, after={"t3_median": median})
 
 
 def tier_correlation(df: DataFrame) -> Tier:
@@ -533,9 +543,9 @@ def tier_correlation(df: DataFrame) -> Tier:
     for i, a in enumerate(cols):
         for b in cols[i + 1 :]:
             key = f"t4_{a}_{b}" if f"t4_{a}_{b}" in aggs else f"t4p_{a}_{b}"
-            aggs.setdefault(key, F.corr(F.col(a).cast("double"), F.col(b).cast("double")))
-            strong.append(hit(F.abs(F.col(key)) > 0.95).cast("int"))
-    many = sum(strong[1:], strong[0]) > 0
+            aggs.setdefault(key, F.expr(f"corr(cast({a} as double), cast({b} as double))"))
+            strong.append(f"coalesce(abs({key}) > 0.95, false)")
+    many = F.expr(" or ".join(strong))
     rows.append(("multicollinearity_detection", F.when(many, "WARNING").otherwise("PASSED"), F.when(many, 60.0).otherwise(100.0)))
     return Tier("correlation_validation", 80.0, aggs, rows)
 
@@ -566,13 +576,13 @@ def tier_compliance(df: DataFrame, transitions: DataFrame | None = None) -> Tier
         aggs[f"t5_{p}"] = _mean_pct_in(F.col(p).between(0, 1), F.col(p).isNotNull())
         rows.append((f"{p}_range_compliance", _grade(F.col(f"t5_{p}"), 99, "FAILED"), F.col(f"t5_{p}")))
     rows.append(("ecl_non_negative", F.when(F.col("t5_ecl") == 100.0, "PASSED").otherwise("FAILED"), F.col("t5_ecl")))
+    after = {}
     if transitions is not None:
         jump = (F.col("from_stage") == 3) & (F.col("to_stage") == 1)
-        forbidden = transitions.agg(_mean_pct(jump).alias("f")).scalar()
-        rows.append(
-            ("stage_transition_logic", F.when(forbidden <= 2.0, "PASSED").otherwise("WARNING"), F.lit(100.0) - forbidden)
-        )
-    return Tier("compliance_validation", 100.0, aggs, rows)
+        after["t5_jumps"] = transitions.agg(_mean_pct(jump).alias("f")).scalar()
+        jumps = F.col("t5_jumps")
+        rows.append(("stage_transition_logic", F.when(jumps <= 2.0, "PASSED").otherwise("WARNING"), F.lit(100.0) - jumps))
+    return Tier("compliance_validation", 100.0, aggs, rows, after=after)
 
 
 def tier_ml_readiness(df: DataFrame) -> Tier:
@@ -603,20 +613,17 @@ def tier_ml_readiness(df: DataFrame) -> Tier:
         ("feature_scaling_readiness", F.when(ratio <= 100, "PASSED").otherwise("WARNING"), F.greatest(F.lit(0.0), 100.0 - F.log10(ratio) * 20)),
         ("outlier_analysis", _grade(outliers, 80, "WARNING"), outliers),
     ]
-    tier = Tier("ml_readiness_validation", 90.0, aggs, rows)
-    tier.prepare = {"_fences": fences}
-    return tier
+    return Tier("ml_readiness_validation", 90.0, aggs, rows, before={"_fences": fences})
 
 
 def tier_checks(df: DataFrame, tiers: Sequence[Tier]) -> DataFrame:
     """(tier, check, status, score) of all tiers from one aggregate over the portfolio."""
-    prepared: dict[str, Column] = {}
-    aggs: dict[str, Column] = {}
-    for t in tiers:
-        prepared |= getattr(t, "prepare", {})
-        aggs |= t.aggs
-    base = df.withColumns(prepared) if prepared else df
+    before = {n: c for t in tiers for n, c in t.before.items()}
+    after = {n: c for t in tiers for n, c in t.after.items()}
+    aggs = {n: c for t in tiers for n, c in t.aggs.items()}
+    base = df.withColumns(before) if before else df
     one = base.agg(*[a.alias(n) for n, a in aggs.items()])
+    one = one.withColumns(after) if after else one
     return stack(
         one,
         [

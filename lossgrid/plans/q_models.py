@@ -1 +1,209 @@
-"""placeholder"""
+"""Training, scoring and evaluation queries.
+
+Forest sizes here are small on purpose (a registered query should finish in
+seconds); the operators' defaults are the full sizes.  Rows are never reduced.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lossgrid.operators import evaluation as V
+from lossgrid.operators import models as M
+from lossgrid.plans.registry import SQL_ONLY, query
+from lossgrid.sources.scratch import fresh_path
+
+TREES, DEPTH = 10, 6
+_FITS: dict[tuple, M.Fit] = {}
+
+
+def _table(t):
+    return M.training_table(t.staged)
+
+
+def _fit(t) -> M.Fit:
+    """One forest per session and directory, shared by the queries below."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _FITS:
+        _FITS[key] = M.train_stage(_table(t), trees=TREES, depth=DEPTH, folds=0)
+    return _FITS[key]
+
+
+@query("train_stage_classifier")
+def _(t):
+    fit = M.train_stage(_table(t), trees=TREES, depth=5, folds=2)
+    return M.metric_table(t.spark, fit.metrics)
+
+
+@query("train_stage_8feat")
+def _(t):
+    fit = _fit(t)
+    return M.metric_table(t.spark, fit.metrics | {f"importance_{k}": v for k, v in fit.importance.items()})
+
+
+@query("train_pd_regressor")
+def _(t):
+    table = M.training_table(
+        t.results.withColumn("stage", F.col("calculated_stage")), target=F.col("calculated_pd")
+    )
+    return M.metric_table(t.spark, M.train_pd(table, rounds=5, depth=4).metrics)
+
+
+@query("score_portfolio")
+def _(t):
+    return M.score_portfolio(_table(t), _fit(t).model)
+
+
+@query("scan_batched_score")
+def _(t):
+    scored = M.score_portfolio(_table(t), _fit(t).model)
+    return scored.groupBy("predicted_stage").agg(F.count("*").alias("n"), F.avg("confidence").alias("avg_confidence"))
+
+
+@query("tune_model")
+def _(t):
+    return M.tune(_table(t), draws=2, folds=2, max_trees=10)
+
+
+@query("select_model")
+def _(t):
+    fit = _fit(t)
+    rows = [("simple", True, fit.metrics["accuracy"], None), ("advanced", True, None, fit.metrics["roc_auc"])]
+    candidates = t.spark.createDataFrame(rows, "name string, success boolean, accuracy double, auc double")
+    picks = [M.select_model(candidates, s) for s in ("auto", "simple_only", "advanced_only")]
+    return picks[0].unionByName(picks[1]).unionByName(picks[2])
+
+
+@query("model_store")
+def _(t):
+    root = fresh_path(t.spark, "model-store")
+    fit = _fit(t)
+    for run in ("20011130", "20011231"):
+        M.save_model(t.spark, fit, root, run)
+    reloaded = M.load_latest(t.spark, root)
+    table = _table(t)
+    same = M.score_portfolio(table, fit.model).select("loan_id", F.col("predicted_stage").alias("before")).join(
+        M.score_portfolio(table, reloaded).select("loan_id", "predicted_stage"), "loan_id"
+    )
+    latest = M.latest_run(t.spark, root).select("run_id").scalar()
+    return same.agg(
+        F.count("*").alias("scored"), F.count_if(F.col("before") == F.col("predicted_stage")).alias("identical")
+    ).withColumn("run_id", latest)
+
+
+# -- evaluation --------------------------------------------------------------
+
+
+@query(
+    "eval_confusion",
+    "SELECT original_stage AS actual, predicted_stage AS predicted, count(*) AS n FROM {predictions} GROUP BY 1, 2",
+)
+def _(t):
+    return V.confusion(t.predictions, "original_stage", "predicted_stage")
+
+
+def _report_sql() -> str:
+    parts = []
+    for i in (1, 2, 3):
+        tp = f"count(*) FILTER (original_stage='STAGE_{i}' AND predicted_stage='STAGE_{i}')"
+        pp, ap = f"count(*) FILTER (predicted_stage='STAGE_{i}')", f"count(*) FILTER (original_stage='STAGE_{i}')"
+        parts.append(
+            f"""SELECT 'STAGE_{i}' AS class, {tp}/{pp} AS precision, {tp}/{ap} AS recall, 2*({tp}/{pp})*({tp}/{ap})/({tp}/{pp}+{tp}/{ap}) AS f1,
+                  {ap} AS support, count(*) FILTER (original_stage=predicted_stage)/count(*) AS accuracy FROM {{predictions}}"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("eval_report", _report_sql(), ratio="precision recall f1 accuracy")
+def _(t):
+    return V.class_report(t.predictions, "original_stage", "predicted_stage")
+
+
+SQL_ONLY["class_scores"] = " UNION ALL ".join(
+    f"""SELECT 'STAGE_{i}' AS class, CASE WHEN predicted_stage='STAGE_{i}' THEN confidence ELSE (1-confidence)/2.0E0 END AS score,
+          CASE WHEN original_stage='STAGE_{i}' THEN 1 ELSE 0 END AS pos FROM {{predictions}}"""
+    for i in (1, 2, 3)
+)
+_AUC_SQL = """SELECT class, (sum(pos*rk) - sum(pos)*(sum(pos)+1)/2.0E0)/(sum(pos)*(count(*)-sum(pos))) AS auc, sum(pos)/count(*) AS weight
+  FROM (SELECT class, pos, rank() OVER (PARTITION BY class ORDER BY score) + (count(*) OVER (PARTITION BY class, score)-1)/2.0E0 AS rk FROM {class_scores}) q GROUP BY class"""
+
+
+def _class_scores():
+    p, c = F.col("predicted_stage"), F.col("confidence")
+    return {f"STAGE_{i}": F.when(p == f"STAGE_{i}", c).otherwise((F.lit(1) - c) / 2.0) for i in (1, 2, 3)}
+
+
+@query("eval_auc_ovr", _AUC_SQL, ratio="auc weight")
+def _(t):
+    return V.auc_one_vs_rest(t.predictions, "original_stage", _class_scores())
+
+
+@query("eval_auc_weighted", f"SELECT sum(auc*weight)/sum(weight) AS roc_auc FROM ({_AUC_SQL}) z", ratio="roc_auc")
+def _(t):
+    return V.weighted_auc(V.auc_one_vs_rest(t.predictions, "original_stage", _class_scores()))
+
+
+@query(
+    "eval_regression",
+    """SELECT avg(abs(a-p)) AS mae, avg((a-p)*(a-p)) AS mse, sqrt(avg((a-p)*(a-p))) AS rmse, 1-avg((a-p)*(a-p))/var_pop(a) AS r2
+       FROM (SELECT r.calculated_pd AS a, p.probability_default AS p FROM {results} r JOIN {predictions} p USING (loan_id)) q""",
+    ratio="mae mse rmse r2",
+)
+def _(t):
+    both = t.results.select("loan_id", "calculated_pd").join(t.predictions.select("loan_id", "probability_default"), "loan_id")
+    return V.regression_metrics(both, "calculated_pd", "probability_default")
+
+
+def _snapshot(t, version: str):
+    """Metric snapshot of one feature-set version: accuracy, PD error, and score importances by correlation."""
+    p = t.predictions.where(F.col("feature_set_version") == version).join(
+        t.results.select("loan_id", "calculated_pd", "credit_score", "days_past_due"), "loan_id"
+    )
+    weight = {c: F.abs(F.corr(F.col(c).cast("double"), F.col("calculated_pd"))) for c in ("credit_score", "days_past_due")}
+    return p.agg(
+        F.avg((F.col("predicted_stage") == F.col("original_stage")).cast("double")).alias("accuracy"),
+        F.avg(F.abs(F.col("probability_default") - F.col("calculated_pd"))).alias("pd_mae"),
+        F.create_map(*[x for c, w in weight.items() for x in (F.lit(c), w)]).alias("importances"),
+    )
+
+
+@query(
+    "model_thresholds",
+    """WITH s AS (SELECT feature_set_version AS v, avg(CAST(predicted_stage=original_stage AS INT)) AS acc, avg(abs(probability_default-calculated_pd)) AS mae,
+           abs(corr(credit_score, calculated_pd)) AS w1, abs(corr(days_past_due, calculated_pd)) AS w2
+         FROM {predictions} JOIN (SELECT loan_id, calculated_pd, credit_score, days_past_due FROM {results}) r USING (loan_id) GROUP BY 1),
+       m AS (SELECT a.acc, a.mae, 1-abs(a.acc-b.acc) AS stab, greatest(abs(a.w1-b.w1), abs(a.w2-b.w2)) AS drift FROM s a, s b WHERE a.v='fs1' AND b.v='fs0')
+       SELECT 'accuracy' AS metric, acc AS observed, 0.85E0 AS "limit", acc>=0.85E0 AS passed FROM m UNION ALL SELECT 'pd_mae', mae, 0.05E0, mae<=0.05E0 FROM m
+       UNION ALL SELECT 'stability', stab, 0.9E0, stab>=0.9E0 FROM m UNION ALL SELECT 'importance_drift', drift, 0.15E0, drift<=0.15E0 FROM m""",
+    ratio="observed",
+)
+def _(t):
+    return V.model_thresholds(_snapshot(t, "fs1"), _snapshot(t, "fs0"))
+
+
+_EDGES = ", ".join(f"quantile_cont(probability_default, {i / 10})" for i in range(1, 10))
+
+
+@query(
+    "calibration_psi",
+    f"""SELECT CAST(1+len(list_filter(e, x -> x < probability_default)) AS INT) AS decile, count(*) AS n, avg(probability_default) AS mean_predicted,
+         avg(CAST(original_stage='STAGE_3' AS INT)) AS default_rate
+       FROM {{predictions}}, (SELECT [{_EDGES}] AS e FROM {{predictions}}) z GROUP BY 1""",
+    ratio="mean_predicted default_rate",
+)
+def _(t):
+    return V.calibration(t.predictions, "probability_default", F.col("original_stage") == "STAGE_3")
+
+
+@query(
+    "stability_index",
+    f"""SELECT sum((q-p)*ln(q/p)) AS psi, count(*) AS bins FROM (
+         SELECT greatest(count(*) FILTER (feature_set_version='fs1')/(SELECT count(*) FROM {{predictions}} WHERE feature_set_version='fs1'), 1e-6) AS p,
+           greatest(count(*) FILTER (feature_set_version='fs0')/(SELECT count(*) FROM {{predictions}} WHERE feature_set_version='fs0'), 1e-6) AS q
+         FROM {{predictions}}, (SELECT [{_EDGES}] AS e FROM {{predictions}} WHERE feature_set_version='fs1') z
+         GROUP BY len(list_filter(e, x -> x < probability_default))) y""",
+    ratio="psi",
+)
+def _(t):
+    of = lambda v: t.predictions.where(F.col("feature_set_version") == v)
+    return V.stability_index(of("fs1"), of("fs0"), "probability_default")

@@ -24,7 +24,7 @@ class Query:
     rounding: dict[str, int]
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.build(Tables(spark, sf_dir))
+        df = self.build(Tables.of(spark, sf_dir))
         if not self.rounding:
             return df
         return df.select(

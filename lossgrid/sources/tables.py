@@ -147,6 +147,9 @@ def references(sql: str) -> list[str]:
     return list(dict.fromkeys(_REF.findall(sql)))
 
 
+_HANDLES: dict[tuple, Tables] = {}
+
+
 class Tables:
     """Lazy access to base and derived tables of one data directory."""
 
@@ -157,6 +160,15 @@ class Tables:
         # one time zone for every date and window computation
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Tables:
+        """The session's handle for a directory: plans are analysed once and shared, data is never held."""
+        key = (id(spark), spark.sparkContext.applicationId, str(sf_dir))
+        if key not in _HANDLES:
+            _HANDLES[key] = cls(spark, sf_dir)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return _HANDLES[key]
+
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
