@@ -14,7 +14,7 @@ from lossgrid.functions import portfolio as P
 from lossgrid.functions import rules as R
 from lossgrid.functions.expr import above, at_least, hit, lookup
 from lossgrid.operators.quality import stack
-from lossgrid.operators.scale import quantile_columns
+from lossgrid.operators.scale import computed_once, quantile_columns
 
 _SLOT = re.compile(r"\{(\w+)\}")
 
@@ -143,12 +143,8 @@ def with_distance_score(results: DataFrame, columns=OUTLIER_FEATURES) -> DataFra
     zs = F.array(*[F.try_divide(v - F.col("_row")[f"m_{c}"], F.col("_row")[f"s_{c}"]) for c, v in filled.items()])
     # a fold binds each z once; writing z * z would inline its whole expression twice
     total = F.aggregate("_zs", F.lit(0.0), lambda acc, z: acc + F.coalesce(z * z, F.lit(0.0)))
-    return (
-        active.withColumns({"_row": row})
-        .withColumns({"_zs": zs})
-        .withColumns({"anomaly_score": F.sqrt(total / float(len(filled)))})
-        .drop("_row", "_zs")
-    )
+    scaled = active.withColumns({"_row": row}).withColumns({"_zs": zs})
+    return computed_once(scaled, "anomaly_score", F.sqrt(total / float(len(filled)))).drop("_row", "_zs")
 
 
 def detect_outliers(results: DataFrame, contamination: float = 0.05) -> DataFrame:

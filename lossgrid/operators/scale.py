@@ -38,6 +38,16 @@ def attach_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column) -> Da
     return df.join(sized_broadcast(summary, keys), keys, "left")
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Column behind a one-element generator.
+
+    A filter on a plain projected column is pushed below the projection with the
+    whole expression inlined again; a generator's output is not, so an expensive
+    score that is filtered on is evaluated once per row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 # -- exact quantiles ---------------------------------------------------------
 
 
@@ -213,3 +223,29 @@ def distributed_running_sums(
     return joined.withColumns({f"{n}_before": F.col(f"_l_{n}") + F.col(f"_b_{n}") for n in names}).drop(
         "_at", "_pid", "_pos", *[f"_l_{n}" for n in names], *[f"_b_{n}" for n in names]
     )
+
+
+def distributed_lag(
+    df: DataFrame, part: Sequence[str], order: Sequence[str], columns: dict[str, str]
+) -> DataFrame:
+    """Previous row's values (``{"prev_x": "x"}``) in group order; null on a group's first row.
+
+    Windows run inside sorted partitions only; the first row of a partition takes
+    the last row of the group from the nearest earlier partition.
+    """
+    part = list(part)
+    rows = _ordered(df, part, order)
+    within = Window.partitionBy(*part, "_pid").orderBy("_pos")
+    names = list(columns)
+    tails = rows.groupBy(*part, "_pid").agg(
+        F.min("_pos").alias("_first"), F.max_by(F.struct(*columns.values()), F.col("_pos")).alias("_tail")
+    )
+    across = Window.partitionBy(*part).orderBy("_pid")
+    tails = tails.select(*part, "_pid", "_first", F.lag("_tail").over(across).alias("_before"))
+    local = {f"_l_{n}": F.lag(c).over(within) for n, c in columns.items()}
+    joined = rows.withColumns(local).join(sized_broadcast(tails, [*part, "_pid"]), [*part, "_pid"])
+    at_start = F.col("_pos") == F.col("_first")
+    picked = {n: F.when(at_start, F.col("_before")[c]).otherwise(F.col(f"_l_{n}")) for n, c in columns.items()}
+    return joined.withColumns(picked).drop(
+        "_at", "_pid", "_pos", "_first", "_before", *[f"_l_{n}" for n in names]
+    )

@@ -186,7 +186,7 @@ _EDGES = ", ".join(f"quantile_cont(probability_default, {i / 10})" for i in rang
 
 @query(
     "calibration_psi",
-    f"""SELECT CAST(1+len(list_filter(e, x -> x < probability_default)) AS INT) AS decile, count(*) AS n, avg(probability_default) AS mean_predicted,
+    f"""SELECT CAST(1+len(list_filter(e, lambda x: x < probability_default)) AS INT) AS decile, count(*) AS n, avg(probability_default) AS mean_predicted,
          avg(CAST(original_stage='STAGE_3' AS INT)) AS default_rate
        FROM {{predictions}}, (SELECT [{_EDGES}] AS e FROM {{predictions}}) z GROUP BY 1""",
     ratio="mean_predicted default_rate",
@@ -201,7 +201,7 @@ def _(t):
          SELECT greatest(count(*) FILTER (feature_set_version='fs1')/(SELECT count(*) FROM {{predictions}} WHERE feature_set_version='fs1'), 1e-6) AS p,
            greatest(count(*) FILTER (feature_set_version='fs0')/(SELECT count(*) FROM {{predictions}} WHERE feature_set_version='fs0'), 1e-6) AS q
          FROM {{predictions}}, (SELECT [{_EDGES}] AS e FROM {{predictions}} WHERE feature_set_version='fs1') z
-         GROUP BY len(list_filter(e, x -> x < probability_default))) y""",
+         GROUP BY len(list_filter(e, lambda x: x < probability_default))) y""",
     ratio="psi",
 )
 def _(t):
