@@ -84,7 +84,7 @@ def exact_quantiles(
     probs = sorted(set(float(p) for p in probs))
     group = [*by, "metric"]
     values = long_values(df, columns, by)
-    slack = 2.0 / accuracy
+    slack = 3.0 / accuracy
     edges = sorted({e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))})
     sketch = values.groupBy(*group).agg(
         F.count("*").alias("n"), F.percentile_approx("value", edges, accuracy).alias("_edges")
@@ -97,6 +97,8 @@ def exact_quantiles(
     for lo, hi in brackets:
         here = v.between(lo, hi)
         inside = here if inside is None else (inside | here)
+    # below the sketch size one rank is more than the slack; such a group is small enough to keep whole
+    inside = inside | (F.col("n") <= accuracy)
     # outside every bracket: the highest upper edge below the value (null = before the first bracket)
     floor_edge = F.greatest(*[F.when(v > hi, hi) for _, hi in brackets], F.lit(None).cast("double"))
     keyed = sized_broadcast(sketch, group) if by else F.broadcast(sketch)  # without `by`: one row per column
@@ -151,13 +153,14 @@ def smallest_rank_threshold(
     """
     group = [*by, "metric"]
     values = long_values(df, [key], by)
-    slack = 2.0 / accuracy
+    slack = 3.0 / accuracy
     lo_p, hi_p = max(0.0, fraction - slack), min(1.0, fraction + slack)
     sketch = values.groupBy(*group).agg(
         F.count("*").alias("n"), F.percentile_approx("value", [lo_p, hi_p], accuracy).alias("_e")
     )
     v, lo, hi = F.col("value"), F.col("_e")[0], F.col("_e")[1]
-    collapsed = F.when(v.between(lo, hi), v).otherwise(F.when(v > hi, hi))
+    kept = v.between(lo, hi) | (F.col("n") <= accuracy)
+    collapsed = F.when(kept, v).otherwise(F.when(v > hi, hi))
     counts = (
         values.join(sized_broadcast(sketch, group), group)
         .select(*group, "n", collapsed.alias("value"))

@@ -331,7 +331,7 @@ def _(t):
 )
 def _(t):
     alerts = S.sustained_error_alerts(_stream(t), 3600, 1, 2, "10 minutes")
-    done = S.run_available(alerts, "alerts", "append")
+    done = S.run_available(alerts, "alerts", "append", S.ROCKSDB)
     return done.select("agent", F.col("fired_at").cast("timestamp_ntz").alias("fired_at"), "windows")
 
 

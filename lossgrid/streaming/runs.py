@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Any
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from lossgrid.sources.schemas import TELEMETRY_SOURCE_DDL
 from lossgrid.sources.scratch import fresh_path
@@ -32,7 +32,22 @@ def _sink(path: str, keep_all: bool) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the moment a query starts (it keeps its own copy)."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_available(
+    stream: DataFrame, name: str, mode: str = "append", settings: dict[str, str] | None = None
+) -> DataFrame:
     """Process everything available, then return what was written.
 
     ``append`` output accumulates per batch; ``complete`` output is replaced by
@@ -40,14 +55,15 @@ def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFra
     """
     spark = stream.sparkSession
     path = fresh_path(spark, name)
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", f"{path}/_progress")
-        .foreachBatch(_sink(f"{path}/out", keep_all=mode == "append"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with _settings(spark, settings or {}):
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", f"{path}/_progress")
+            .foreachBatch(_sink(f"{path}/out", keep_all=mode == "append"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     schema = stream.schema
     written = spark.read.schema(schema)
     if mode == "append":
@@ -63,44 +79,61 @@ def deduplicated(stream: DataFrame, key: str, delay: str) -> DataFrame:
 # -- sustained error rate as a stateful operator ------------------------------
 
 ALERT_SCHEMA = "agent string, fired_at timestamp, windows long"
-STATE_SCHEMA = "starts array<long>, counts array<long>, last long, streak long"
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
+
+
+class ErrorStreak(StatefulProcessor):
+    """Length of the current run of bad windows per agent; fires when it reaches ``runs``."""
+
+    def __init__(self, window_seconds: int, min_errors: int, runs: int):
+        self.window_seconds, self.min_errors, self.runs = window_seconds, min_errors, runs
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("streak", "last long, length long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # one row per closed window; windows close in watermark order across batches
+        closed = pd.concat(list(rows)).sort_values("start")
+        last, length = self.state.get() if self.state.exists() else (None, 0)
+        fired = []
+        for start, errors in zip(closed["start"], closed["errors"]):
+            follows = last is not None and int(start) == last + self.window_seconds
+            length = 0 if errors < self.min_errors else (length + 1 if follows and length else 1)
+            last = int(start)
+            if length == self.runs:
+                fired.append(pd.Timestamp(last, unit="s"))
+        self.state.update((last, int(length)))
+        yield pd.DataFrame({"agent": [key[0]] * len(fired), "fired_at": fired, "windows": [self.runs] * len(fired)}).astype(
+            {"agent": "object", "fired_at": "datetime64[ns]", "windows": "int64"}
+        )
+
+    def close(self) -> None:
+        pass
 
 
 def sustained_error_alerts(
     stream: DataFrame, window_seconds: int, min_errors: int, runs: int, delay: str
 ) -> DataFrame:
-    """Fires once when ``runs`` consecutive windows of an agent reach ``min_errors`` failures.
+    """Alerts after ``runs`` consecutive windows of an agent with at least ``min_errors`` failures.
 
-    Events are first summed per agent and window by a streaming aggregate, so a
-    noisy agent reaches the state function as one row per closed window.
+    Events are summed per agent and window by a streaming aggregate first, so a
+    noisy agent reaches the state function as one row per closed window.  Start it
+    with :data:`ROCKSDB` among the settings.
     """
     closed = (
         stream.where(F.col("status") == "failed")
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", f"{window_seconds} seconds"), "agent")
         .agg(F.count("*").alias("errors"))
-        .select("agent", F.window_time("window").alias("event_time"), F.unix_timestamp("window.start").alias("start"), "errors")
+        .select("agent", F.unix_timestamp("window.start").alias("start"), "errors")
     )
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, streak = (state.get[2], state.get[3]) if state.exists else (None, 0)
-        rows = pd.concat(list(batches)).sort_values("start")
-        fired: list[tuple[Any, int]] = []
-        for start, errors in zip(rows["start"], rows["errors"]):
-            if errors < min_errors:
-                streak = 0
-            else:
-                streak = streak + 1 if last is not None and streak and start == last + window_seconds else 1
-                if streak == runs:
-                    fired.append((pd.Timestamp(int(start), unit="s"), streak))
-            last = int(start)
-        state.update(([], [], last, int(streak)))
-        yield pd.DataFrame(
-            {"agent": [key[0]] * len(fired), "fired_at": [f[0] for f in fired], "windows": [f[1] for f in fired]}
-        ).astype({"fired_at": "datetime64[ns]", "windows": "int64"})
-
-    return closed.groupBy("agent").applyInPandasWithState(
-        step, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    return closed.groupBy("agent").transformWithStateInPandas(
+        statefulProcessor=ErrorStreak(window_seconds, min_errors, runs),
+        outputStructType=ALERT_SCHEMA,
+        outputMode="append",
+        timeMode="none",
     )
 
 
