@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossgrid.operators.scale import sized_broadcast, smallest_rank_threshold
+from lossgrid import config as C
+from lossgrid.operators.scale import smallest_rank_threshold
 
 _MULTIPLIER = 2654435761
 _MODULUS = 1 << 52
@@ -34,17 +35,20 @@ def union_batches(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def split_stratified(df: DataFrame, stratum: str, train_share: float = 0.8) -> DataFrame:
-    """Adds ``is_train``: exactly floor(share * n) rows of every stratum.
+def split_stratified(
+    df: DataFrame, stratum: str, train_share: float = 0.8, strata: Sequence[str] = C.STAGES
+) -> DataFrame:
+    """Adds ``is_train``: exactly floor(share * n) rows of every listed stratum.
 
     The split point per stratum is an exact order statistic of the hash, so no
-    stratum is ever ranked in one task.
+    stratum is ever ranked in one task.  Rows of unlisted strata stay in training.
     """
     hashed = df.withColumn("_h", loan_hash().cast("double"))
-    cut = smallest_rank_threshold(hashed.select(stratum, "_h"), "_h", [stratum], train_share)
+    listed = hashed.where(F.col(stratum).isin(*strata)).select(stratum, "_h")
+    cut = smallest_rank_threshold(listed, "_h", [stratum], train_share, bounded=True).select(stratum, "threshold")
     return (
-        hashed.join(sized_broadcast(cut.select(stratum, "threshold"), [stratum]), stratum)
-        .withColumn("is_train", F.col("_h") < F.col("threshold"))
+        hashed.join(F.broadcast(cut), stratum, "left")  # at most one row per listed stratum
+        .withColumn("is_train", F.coalesce(F.col("_h") < F.col("threshold"), F.lit(True)))
         .drop("_h", "threshold")
     )
 

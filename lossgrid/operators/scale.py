@@ -145,11 +145,13 @@ def quantile_columns(
 
 
 def smallest_rank_threshold(
-    df: DataFrame, key: str, by: Sequence[str], fraction: float, accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, key: str, by: Sequence[str], fraction: float, bounded: bool = False, accuracy: int = SKETCH_ACCURACY
 ) -> DataFrame:
     """Per group, the value of the (distinct) key whose rank is floor(fraction * n): an exact split point.
 
     Keys strictly below it are exactly the ``floor(fraction * n)`` smallest.
+    ``bounded`` says the groups were filtered to a fixed vocabulary, so their
+    sketches need no size check before they are broadcast.
     """
     group = [*by, "metric"]
     values = long_values(df, [key], by)
@@ -162,7 +164,7 @@ def smallest_rank_threshold(
     kept = v.between(lo, hi) | (F.col("n") <= accuracy)
     collapsed = F.when(kept, v).otherwise(F.when(v > hi, hi))
     counts = (
-        values.join(sized_broadcast(sketch, group), group)
+        values.join(F.broadcast(sketch) if bounded else sized_broadcast(sketch, group), group)
         .select(*group, "n", collapsed.alias("value"))
         .groupBy(*group, "value")
         .agg(F.first("n").alias("n"), F.count("*").alias("c"))

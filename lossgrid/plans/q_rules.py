@@ -53,7 +53,7 @@ STAGE_OF = "CAST(substr(stage,7,1) AS INT)"
 # -- contracts and defaults --------------------------------------------------
 
 
-@query("require_columns")
+@query("require_columns", f"SELECT {', '.join(REQUIRED_LOAN_COLUMNS)} FROM {{loans}}")
 def _(t):
     return require_columns(t.loans, REQUIRED_LOAN_COLUMNS).select(*REQUIRED_LOAN_COLUMNS)
 
@@ -280,9 +280,13 @@ def _(t):
     )
 
 
-@query("audit_columns")
+@query(
+    "audit_columns",
+    "SELECT loan_id, TIMESTAMP '2001-12-31 00:00:00' AS processing_timestamp, '1.0' AS config_version, false AS ml_enabled FROM {loans}",
+)
 def _(t):
-    return audit_columns(t.loans).select("loan_id", "processing_timestamp", "config_version", "ml_enabled")
+    stamp = F.col("processing_timestamp").cast("timestamp_ntz").alias("processing_timestamp")
+    return audit_columns(t.loans).select("loan_id", stamp, "config_version", "ml_enabled")
 
 
 SQL_ONLY["rated"] = """

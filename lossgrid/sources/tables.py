@@ -13,6 +13,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lossgrid.session import apply_defaults
+
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -157,8 +159,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = str(sf_dir).rstrip("/")
         self._frames: dict[str, DataFrame] = {}
-        # one time zone for every date and window computation
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        apply_defaults(spark)
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Tables:
@@ -166,7 +167,7 @@ class Tables:
         key = (id(spark), spark.sparkContext.applicationId, str(sf_dir))
         if key not in _HANDLES:
             _HANDLES[key] = cls(spark, sf_dir)
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        apply_defaults(spark)
         return _HANDLES[key]
 
     def base(self, name: str) -> DataFrame:
