@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid import config as C
 from lossgrid.functions import features as X
-from lossgrid.operators.scale import quantile_columns, sized_broadcast
+from lossgrid.operators.scale import distributed_row_number, quantile_columns, sized_broadcast
 
 EMPLOYMENT = ("EMPLOYED", "SELF_EMPLOYED", "RETIRED", "UNEMPLOYED")
 
@@ -75,8 +75,8 @@ def categorical_levels(df: DataFrame, column: str) -> DataFrame:
         .withColumn("_k", F.lit(0))
     )
     marks = df.sparkSession.createDataFrame([("__missing__", 1), ("__other__", 2)], "level string, _k int")
-    order = Window.orderBy("_k", "level")  # one row per level
-    return seen.unionByName(marks).select("level", (F.row_number().over(order) - 1).alias("level_index"))
+    numbered = distributed_row_number(seen.unionByName(marks), [], ["_k", "level"], "_n")
+    return numbered.select("level", (F.col("_n") - 1).cast("int").alias("level_index"))
 
 
 def apply_levels(df: DataFrame, column: str, levels: DataFrame) -> DataFrame:

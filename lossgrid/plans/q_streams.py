@@ -297,7 +297,7 @@ def _(t):
 )
 def _(t):
     stream = _stream(t).withWatermark("event_time", "1 hour")
-    done = S.run_available(T.session_windows(stream), "sessions", "complete")
+    done = S.run_available(T.session_windows(stream), "sessions", "complete", S.LOCAL_SESSION_MERGE)
     return done.select(
         "user_id",
         F.col("window.start").cast("timestamp_ntz").alias("session_start"),

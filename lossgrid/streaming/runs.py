@@ -71,9 +71,23 @@ def run_available(
     return written.parquet(f"{path}/out/current")
 
 
-def deduplicated(stream: DataFrame, key: str, delay: str) -> DataFrame:
-    """First arrival per key; state for a key is dropped once the watermark has passed it."""
-    return stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
+#: sessions are merged before the shuffle, so a busy user sends sessions and not events
+LOCAL_SESSION_MERGE = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
+def deduplicated(stream: DataFrame, key: str, delay: str, salts: int = 16) -> DataFrame:
+    """First arrival per key; state for a key is dropped once the watermark has passed it.
+
+    Copies of one key are first thinned out per (key, input task slot), which
+    spreads a heavily repeated key over several tasks, and then per key.
+    """
+    return (
+        stream.withWatermark("event_time", delay)
+        .withColumn("_slot", F.spark_partition_id() % salts)
+        .dropDuplicatesWithinWatermark([key, "_slot"])
+        .dropDuplicatesWithinWatermark([key])
+        .drop("_slot")
+    )
 
 
 # -- sustained error rate as a stateful operator ------------------------------
