@@ -53,6 +53,11 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., metric, value) rows of the numeric columns, nulls dropped."""
+    if len(columns) == 1:  # nothing to unpivot
+        only = columns[0]
+        return df.select(*by, F.lit(only).alias("metric"), F.col(only).cast("double").alias("value")).where(
+            F.col("value").isNotNull()
+        )
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns])
     )

@@ -102,19 +102,6 @@ def _(t):
     return read.groupBy(F.col("f.severity").alias("severity")).agg(F.count("*").alias("n"))
 
 
-@query(
-    "explain_outlier_text",
-    f"""SELECT loan_id, concat_ws(' ', {_sql_fill(C.TEXT_OUTLIER, loan="loan_id", score="printf('%.3f', round(ltv_ratio, 3))")},
-         CASE WHEN factors='' THEN {_q(C.TEXT_OUTLIER_NONE)} END,
-         CASE WHEN high_items<>'' THEN {_q(C.TEXT_OUTLIER_HIGH)} || ' ' || high_items END,
-         CASE WHEN medium_items<>'' THEN {_q(C.TEXT_OUTLIER_MEDIUM)} || ' ' || medium_items END, {_q(C.TEXT_OUTLIER_ACTION)}) AS outlier_explanation
-       FROM {{unusual}} WHERE ltv_ratio IS NOT NULL""",
-)
-def _(t):
-    flagged = E.unusual_factors(t.results.where(F.col("ltv_ratio").isNotNull()))
-    return E.explain_outlier_text(flagged, "ltv_ratio").select("loan_id", "outlier_explanation")
-
-
 def _distance_sql() -> str:
     cols = E.OUTLIER_FEATURES
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
@@ -134,6 +121,22 @@ def _(t):
     return E.detect_outliers(t.results).select("loan_id", "anomaly_score")
 
 
+@query(
+    "explain_outlier_text",
+    f"""SELECT loan_id, round(anomaly_score, 6) AS anomaly_score,
+         concat_ws(' ', {_sql_fill(C.TEXT_OUTLIER, loan="loan_id", score="printf('%.3f', round(anomaly_score, 3))")},
+         CASE WHEN factors='' THEN {_q(C.TEXT_OUTLIER_NONE)} END,
+         CASE WHEN high_items<>'' THEN {_q(C.TEXT_OUTLIER_HIGH)} || ' ' || high_items END,
+         CASE WHEN medium_items<>'' THEN {_q(C.TEXT_OUTLIER_MEDIUM)} || ' ' || medium_items END, {_q(C.TEXT_OUTLIER_ACTION)}) AS outlier_explanation
+       FROM {{unusual}} JOIN (SELECT loan_id, anomaly_score FROM {{distanced}}
+         WHERE anomaly_score > (SELECT quantile_cont(anomaly_score, 0.95) FROM {{distanced}})) o USING (loan_id)""",
+    ratio="anomaly_score",
+)
+def _(t):
+    flagged = E.unusual_factors(E.detect_outliers(t.results))
+    return E.explain_outlier_text(flagged).select("loan_id", "anomaly_score", "outlier_explanation")
+
+
 @query("isolation_outliers")
 def _(t):
     return isolation_outliers(t.results).select("loan_id", "anomaly_score")
