@@ -106,9 +106,15 @@ def exact_quantiles(
     inside = inside | (F.col("n") <= accuracy)
     # outside every bracket: the highest upper edge below the value (null = before the first bracket)
     floor_edge = F.greatest(*[F.when(v > hi, hi) for _, hi in brackets], F.lit(None).cast("double"))
-    keyed = sized_broadcast(sketch, group) if by else F.broadcast(sketch)  # without `by`: one row per column
+    if by:
+        bracketed = values.join(sized_broadcast(sketch, group), group)
+    elif len(columns) > 1:
+        bracketed = values.join(F.broadcast(sketch), group)  # one row per column
+    else:  # a single row: a scalar, because a join on the constant column name would have no key left
+        row = sketch.select(F.struct("n", "_edges").alias("s")).scalar()
+        bracketed = values.withColumns({"_s": row}).select(*group, "value", "_s.n", "_s._edges")
     counts = (
-        values.join(keyed, group)
+        bracketed
         .select(*group, "n", F.when(inside, v).otherwise(floor_edge).alias("value"))
         .groupBy(*group, "value")
         .agg(F.first("n").alias("n"), F.count("*").alias("c"))
