@@ -107,7 +107,7 @@ def _(t):
 
 @query(
     "trend_slope",
-    """SELECT window_start, 3600.0E0*regr_slope(duration_seconds, x) AS trend, count(*) AS n FROM (
+    """SELECT window_start, CASE WHEN count(*)>=2 THEN 3600.0E0*regr_slope(duration_seconds, x) END AS trend, count(*) AS n FROM (
          SELECT duration_seconds, window_start, epoch_us(ts - window_start)/1e6 AS x FROM (
            SELECT duration_seconds, ts, time_bucket(INTERVAL '30 minutes', ts) - CAST(k AS INT)*INTERVAL '30 minutes' AS window_start FROM {timed}, (VALUES (0),(1)) o(k)) a) b
        GROUP BY window_start""".replace("epoch_us(ts - window_start)/1e6", "(epoch_us(ts) - epoch_us(window_start))/1e6"),
