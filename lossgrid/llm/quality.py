@@ -21,8 +21,8 @@ class Rules:
     #: separators of a menu, and how many of them a menu line has at least
     separators: str = "|»›•·"
     min_separators: int = 3
-    #: a line in capitals: at least so many letters, so large a share of them
-    capitals: tuple[int, float] = (20, 0.7)
+    #: a line all in capitals, of at least so many word characters
+    shouted_chars: int = 20
     #: a line of at least so many words with no sentence mark at all
     unpunctuated_words: int = 40
     marks: str = ".!?;:…。！？"
@@ -55,35 +55,40 @@ def n_words_of(text: Column) -> Column:
 
 def line_fails(line: Column, rules: Rules) -> Column:
     """True when a line is furniture rather than prose."""
-    solid = F.translate(line, SPACES, "")
+    solid = F.length(F.translate(line, SPACES, ""))
     lowered = F.lower(line)
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}]", ""))
-    capitals = F.length(F.regexp_replace(line, r"[^\p{Lu}]", ""))
-    menu = F.length(line) - F.length(F.translate(line, rules.separators, ""))
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
-    unmarked = F.length(line) == F.length(F.translate(line, rules.marks, ""))
+    symbols = F.regexp_count(line, F.lit(f"[{SYMBOLS}]"))
+    menu = F.regexp_count(line, F.lit(f"[{rules.separators}]"))
     fails = (
-        (symbols > rules.symbol_share * F.length(solid))
+        ((symbols > 0) & (symbols > rules.symbol_share * solid))
         | (menu >= rules.min_separators)
-        | ((letters >= rules.capitals[0]) & (capitals > rules.capitals[1] * letters))
-        | (unmarked & (n_words_of(line) >= rules.unpunctuated_words))
+        | ((F.upper(line) == line) & (lowered != line) & (solid >= rules.shouted_chars))
+        | (~line.rlike(f"[{rules.marks}]") & (n_words_of(line) >= rules.unpunctuated_words))
     )
     for phrase in rules.boilerplate:
         fails = fails | lowered.contains(phrase)
     return fails
 
 
+def window_hashes(words: Column, width: int) -> Column:
+    """A hash of every window of ``width`` words; null below ``width`` words."""
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.size(words) - width), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)])
+    )
+    return F.when(F.size(words) >= width, hashes)
+
+
 def sorted_windows(words: Column, width: int) -> Column:
-    """Windows of ``width`` words with their positions, equal ones side by side; null below ``width`` words."""
+    """Windows of ``width`` words with their positions, equal ones side by side."""
     windows = F.transform(
         F.sequence(F.lit(0), F.size(words) - width),
         lambda i: F.struct(F.concat_ws(" ", *[F.get(words, i + k) for k in range(width)]).alias("w"), i.alias("i")),
     )
-    return F.when(F.size(words) >= width, F.array_sort(windows))
+    return F.array_sort(windows)
 
 
 def words_in_repeats(windows: Column, width: int) -> Column:
-    """How many words lie in a window that is found twice or more; ``windows`` as ``sorted_windows`` gives them."""
+    """How many words lie in a window that is found twice or more; ``windows`` is sorted, or null if all differ."""
 
     def window(k: Column) -> Column:
         return F.coalesce(F.get(windows, k)["w"], F.lit(""))  # windows are never empty
@@ -115,7 +120,10 @@ def score_quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text
     passed = [col(c) for c in docs.columns if c.lower() not in OUTPUTS]
     rows = docs.select(F.struct(*passed).alias("d") if passed else F.lit(None).alias("d"), text_of(text_col).alias("t"))
     rows = rows.withColumn("words", words_of(F.col("t")))
-    rows = rows.withColumn("windows", sorted_windows(F.col("words"), 3))
+    # most texts repeat no window: different hashes prove that, and only the others are sorted
+    rows = rows.withColumn("hashes", window_hashes(F.col("words"), 3))
+    rows = rows.withColumn("repeats", F.size(F.array_distinct("hashes")) < F.size("hashes"))
+    rows = rows.withColumn("windows", F.when(F.col("repeats"), sorted_windows(F.col("words"), 3)))
     rows = rows.withColumn("lines", F.filter(F.split("t", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != ""))
     lost = F.aggregate(
         F.filter("lines", lambda x: line_fails(x, rules)), F.lit(0), lambda total, x: total + n_words_of(x)
@@ -160,14 +168,13 @@ lines AS (
     length(translate(line, {solid}, '')) AS solid,
     length(line) - length(translate(line, '{SYMBOLS}', '')) AS symbols,
     length(line) - length(translate(line, {_sql_in(rules.separators)}, '')) AS menu,
-    length(regexp_replace(line, '[^\\p{{L}}]', '', 'g')) AS letters,
-    length(regexp_replace(line, '[^\\p{{Lu}}]', '', 'g')) AS capitals,
+    upper(line) = line AND lower(line) <> line AND strpos(line, 'ß') = 0 AS shouted,
     length(line) = length(translate(line, {_sql_in(rules.marks)}, '')) AS unmarked
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM docs)),
 judged AS (
   SELECT doc_id, count(*) FILTER (WHERE solid > 0) - count(DISTINCT line) FILTER (WHERE solid > 0) AS n_dup_lines,
     coalesce(sum(line_words) FILTER (WHERE symbols > {rules.symbol_share} * solid OR menu >= {rules.min_separators}
-      OR (letters >= {rules.capitals[0]} AND capitals > {rules.capitals[1]} * letters)
+      OR (shouted AND solid >= {rules.shouted_chars})
       OR (unmarked AND line_words >= {rules.unpunctuated_words}) OR {phrases}), 0) AS lost_words
   FROM lines GROUP BY doc_id),
 counted AS (
