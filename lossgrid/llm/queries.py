@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import chat, line_dedup, quality
+from lossgrid.llm import bpe, chat, line_dedup, quality
 from lossgrid.llm.common import read
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.token_digests(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_repeated_lines(docs).select(
@@ -29,7 +36,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_line_dedup, op8_chat_format, op9_quality_rules)
+    f.__name__: f for f in (op3_byte_bpe, op4_line_dedup, op8_chat_format, op9_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {
