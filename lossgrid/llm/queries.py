@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe, chat, line_dedup, quality
+from lossgrid.llm import bpe, chat, line_dedup, quality, toxicity
 from lossgrid.llm.common import read
 
 
@@ -35,8 +35,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs).select("doc_id", *quality.OUTPUTS)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score_texts(docs, model, score_col="score").select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_byte_bpe, op4_line_dedup, op8_chat_format, op9_quality_rules)
+    f.__name__: f for f in (op3_byte_bpe, op4_line_dedup, op8_chat_format, op9_quality_rules, op10_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {
