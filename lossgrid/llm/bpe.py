@@ -9,7 +9,6 @@ prefix.  A position that failed once is never entered again, which bounds the wo
 from __future__ import annotations
 
 import base64
-import hashlib
 import sys
 from array import array
 from collections.abc import Iterator

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe, chat, line_dedup, quality, toxicity
+from lossgrid.llm import bpe, chat, line_dedup, pii, quality, toxicity
 from lossgrid.llm.common import read
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.personal_data_digests(docs, pii.fit(docs))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,7 +52,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_byte_bpe, op4_line_dedup, op8_chat_format, op9_quality_rules, op10_toxicity)
+    f.__name__: f for f in (
+        op2_personal_data,
+        op3_byte_bpe,
+        op4_line_dedup,
+        op8_chat_format,
+        op9_quality_rules,
+        op10_toxicity,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
