@@ -375,6 +375,9 @@ def personal_data_digests(docs: DataFrame, field: Field) -> DataFrame:
     spans = find_personal_data(docs.select("doc_id", "text"), field)
     rank = F.create_map(*[F.lit(x) for k, kind in enumerate(KINDS) for x in (kind, k)])
 
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
     def joined(of):
         return F.array_join(
             F.transform(of, lambda s: F.concat(s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ","
@@ -390,7 +393,7 @@ def personal_data_digests(docs: DataFrame, field: Field) -> DataFrame:
     )
     return spans.select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[number(kind).alias(f"n_{kind}") for kind in KINDS],
         F.sha2(joined("base"), 256).alias("base_sha256"),
         joined(merged).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
