@@ -1,6 +1,6 @@
 """Line de-duplication across documents with DataFrame functions only.
 
-The text itself is shuffled once, at the end.  What is counted, joined and grouped before that are 16-byte line hashes.
+The text itself is shuffled once, at the end.  What is counted, joined and grouped before that are line hashes of 128 bits.
 """
 
 from __future__ import annotations
@@ -22,11 +22,14 @@ def lines_of(text: Column) -> Column:
 
 def line_key(line: Column) -> Column:
     """What makes two lines equal: stripped at both ends, ASCII capitals lowered."""
-    return F.translate(F.btrim(line, F.lit(SPACES)), UPPER, UPPER.lower())
+    stripped = F.btrim(line, F.lit(SPACES))
+    plain = F.octet_length(stripped) == F.length(stripped)  # then lower() touches ASCII capitals alone, and is faster
+    return F.when(plain, F.lower(stripped)).otherwise(F.translate(stripped, UPPER, UPPER.lower()))
 
 
-def _hash(value: Column) -> Column:
-    return F.substring(F.unhex(F.sha2(value, 256)), 1, 16)
+def _hashes(value: Column, *names: str) -> list[Column]:
+    """128 bits of a text: two hashes with different seeds."""
+    return [F.xxhash64(F.lit(seed), value).alias(name) for seed, name in enumerate(names)]
 
 
 def drop_repeated_lines(
@@ -39,35 +42,42 @@ def drop_repeated_lines(
     makes a line a repeat for another.  Rows without an id are one document after all others.  An empty table stays
     empty; all other columns pass through untouched.
     """
-    order, digest, lines, gone = free_names(docs, "_doc", "_digest", "_lines", "_gone")
-    rows = docs.withColumn(order, F.coalesce(col(id_col).cast("long"), F.lit(LAST_ID))).withColumn(
-        digest, _hash(text_of(text_col))
+    order, d1, d2, lines, gone = free_names(docs, "_doc", "_d1", "_d2", "_lines", "_gone")
+    rows = docs.select(
+        "*",
+        F.coalesce(col(id_col).cast("long"), F.lit(LAST_ID)).alias(order),
+        *_hashes(text_of(text_col), d1, d2),
     )
     seen = rows.select(
-        F.col(order).alias("doc"), F.col(digest).alias("digest"), F.posexplode(lines_of(text_of(text_col)))
-    ).select("doc", "digest", "pos", line_key(F.col("col")).alias("key"))
-    seen = seen.where(F.length("key") >= min_chars).select("doc", "digest", "pos", _hash(F.col("key")).alias("key"))
+        F.col(order).alias("doc"),
+        F.col(d1).alias("d1"),
+        F.col(d2).alias("d2"),
+        F.posexplode(lines_of(text_of(text_col))).alias("pos", "line"),
+    )
+    seen = seen.select("doc", "d1", "d2", "pos", line_key(F.col("line")).alias("key"))
+    seen = seen.where(F.length("key") >= min_chars).select("doc", "d1", "d2", "pos", *_hashes(F.col("key"), "k1", "k2"))
 
     repeated = (
-        seen.groupBy("key", "doc")
+        seen.groupBy("k1", "k2", "doc")
         .agg(F.lit(1).alias("one"))
-        .groupBy("key")
+        .groupBy("k1", "k2")
         .agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
         .where(F.col("docs") >= min_docs)
-        .select("key", "first")
+        .select("k1", "k2", "first")
     )
+    # the third key makes both sides of the join arrive by a shuffle of its own, so that a very common line is split
+    both = F.col("k1").bitwiseXOR(F.col("k2")).alias("k")
     drops = (
-        seen.join(repeated, "key")
+        seen.select("*", both)
+        .join(repeated.select("*", both), ["k1", "k2", "k"])
         .where(F.col("doc") > F.col("first"))
-        .groupBy("doc", "digest")
+        .groupBy("doc", "d1", "d2")
         .agg(F.collect_set("pos").alias("gone"))
     )
 
-    marked = rows.join(
-        drops.select(F.col("doc").alias(order), F.col("digest").alias(digest), F.col("gone").alias(gone)),
-        [order, digest],
-        "left",
-    ).withColumn(lines, lines_of(text_of(text_col)))
+    marked = rows.join(drops.toDF(order, d1, d2, gone), [order, d1, d2], "left").withColumn(
+        lines, lines_of(text_of(text_col))
+    )
     kept = F.array_except(
         F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(F.col(gone), F.array().cast("array<int>"))
     )
