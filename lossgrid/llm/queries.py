@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe, chat, line_dedup, pii, quality, toxicity
+from lossgrid.llm import bpe, chat, decontaminate, line_dedup, pii, quality, toxicity
 from lossgrid.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_digests(chats.unionByName(spark.sql(chat.PROBE)))
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_personal_data,
         op3_byte_bpe,
         op4_line_dedup,
+        op6_decontaminate,
         op8_chat_format,
         op9_quality_rules,
         op10_toxicity,
