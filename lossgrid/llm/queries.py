@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe, chat, decontaminate, line_dedup, pii, quality, toxicity
+from lossgrid.llm import bpe, chat, decontaminate, line_dedup, pages, pii, quality, toxicity
 from lossgrid.llm.common import read
 
 
@@ -30,6 +30,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.main_text(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_personal_data,
         op3_byte_bpe,
         op4_line_dedup,
+        op5_main_text,
         op6_decontaminate,
         op8_chat_format,
         op9_quality_rules,
