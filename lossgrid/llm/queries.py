@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe, chat, decontaminate, line_dedup, pages, pii, quality, toxicity
+from lossgrid.llm import bpe, chat, decontaminate, line_dedup, near_dedup, pages, pii, quality, toxicity
 from lossgrid.llm.common import read
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_dedup.duplicate_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return classes.select(F.col("node").alias("doc_id"), "class_id")
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.personal_data_digests(docs, pii.fit(docs))
@@ -62,6 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_near_dedup,
         op2_personal_data,
         op3_byte_bpe,
         op4_line_dedup,
