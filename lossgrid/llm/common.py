@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossgrid.sources.scratch import fresh_path
+
 #: White space between words and around lines, wherever a contract names ``[\x20\x09-\x0D]``.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -36,3 +38,10 @@ def col(name: str) -> Column:
 def text_of(name: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(col(name).cast("string"), F.lit(""))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A copy written to the shared scratch folder, for tables that several jobs read."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossgrid.llm.common import col, free_names, text_of
-from lossgrid.sources.scratch import cut_lineage, fresh_path
+from lossgrid.llm.common import col, free_names, text_of, written
+from lossgrid.sources.scratch import cut_lineage
 
 WORDS, SIMILARITY = 5, 0.8
 
@@ -210,13 +210,6 @@ def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.S
         yield pd.Series([overlap(bag(x), bag(y)) for x, y in zip(a, b)], dtype=float)
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """A written copy in the shared scratch folder, for tables that several jobs read."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``label``: every node of the edges (``a``, ``b``) with the smallest node it is connected to.
 
@@ -252,17 +245,17 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     rows = docs.select(node_of(id_col, text_col).alias("node"), text_of(text_col).alias("text"))
     printed = F.pandas_udf(_printed, "struct<h1:bigint,h2:bigint,bands:array<bigint>>")
-    prints = _kept(rows.select("node", printed("text").alias("p")).select("node", "p.*"), "prints")
+    prints = written(rows.select("node", printed("text").alias("p")).select("node", "p.*"), "prints")
     reps = prints.groupBy("h1", "h2").agg(F.min("node").alias("rep"), F.first("bands").alias("bands"))
     copies = prints.select("node", "h1", "h2").join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).select("node", "rep")
-    copies = _kept(copies.distinct(), "copies")
+    copies = written(copies.distinct(), "copies")
 
     slots = reps.select("rep", F.explode("bands").alias("bucket"))
     full = slots.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     full = full.where(F.col("low") < F.col("high")).select("bucket")
-    members = _kept(slots.join(full, "bucket").select("bucket", F.col("rep").alias("node")).distinct(), "members")
+    members = written(slots.join(full, "bucket").select("bucket", F.col("rep").alias("node")).distinct(), "members")
     wanted = members.select("node").distinct()
-    texts = _kept(rows.join(wanted, "node").dropDuplicates(["node"]), "texts")
+    texts = written(rows.join(wanted, "node").dropDuplicates(["node"]), "texts")
 
     # copies under several ids, and several texts under one id, are links too
     links = copies.where(F.col("node") != F.col("rep")).select(F.col("node").alias("a"), F.col("rep").alias("b"))

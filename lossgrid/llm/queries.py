@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe, chat, decontaminate, line_dedup, near_dedup, pages, pii, quality, toxicity
+from lossgrid.llm import bpe, chat, decontaminate, licenses, line_dedup, near_dedup, pages, pii, quality, toxicity
 from lossgrid.llm.common import read
 
 
@@ -44,6 +44,15 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang", "doc_id")]
+    files = read(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", *parts).alias("path"), "text")
+    return licenses.scan_licenses(files).select(
+        "doc_id", "path", "license", "origin", "license_dir", F.round("cosine", 6).alias("cosine")
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_digests(chats.unionByName(spark.sql(chat.PROBE)))
@@ -73,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_line_dedup,
         op5_main_text,
         op6_decontaminate,
+        op7_license_scan,
         op8_chat_format,
         op9_quality_rules,
         op10_toxicity,
