@@ -2,31 +2,79 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lossgrid.llm.common import read
-from lossgrid.llm.line_dedup import COUNTS, drop_repeated_lines
+from lossgrid.llm import bpe, decontaminate, line_dedup, near_dedup, toxicity
+from lossgrid.llm.common import free_names, read
+from lossgrid.session import ship_package
 from lossgrid.sources.scratch import fresh_path
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(docs).drop(*COUNTS)
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the threshold; the classifier learns from the labels of these documents."""
+    ship_package(spark)
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    (score,) = free_names(docs, "_score")
+    scored = toxicity.score_texts(docs, model, score_col=score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
-STAGES = [("line dedup", line_dedup)]
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each line kept in the first document that holds it."""
+    ship_package(spark)
+    cleaned = line_dedup.drop_repeated_lines(docs)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast("long"))
+    return cleaned.select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    ship_package(spark)
+    return near_dedup.keep_one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no item of the benchmark."""
+    ship_package(spark)
+    (items,) = free_names(docs, "_items")
+    found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"), out_col=items)
+    return found.where(F.size(items) == 0).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its tokens, and whether they decode to its text."""
+    ship_package(spark)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN)
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return coded.select(
+        "doc_id", "lang", "source", "ids", "n_tokens", (F.col("decoded") == text).alias("decodes_to_text")
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("near dedup", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("byte-level BPE", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every result but the last goes through a Parquet folder in the shared scratch."""
     docs = read(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            path = fresh_path(spark, f"stage-{k}")
+            path = fresh_path(spark, f"stage-{k + 1}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs
 
 
-#: Models and byte pairs have no SQL form; the tests hold the pipeline against brute force.
+#: Models, near copies and byte pairs have no SQL form; the tests hold the stages against brute force.
 ORACLE_SQL = None
