@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossgrid.llm import bpe, decontaminate, line_dedup, near_dedup, toxicity
-from lossgrid.llm.common import free_names, read
-from lossgrid.session import ship_package
+from lossgrid.llm.common import free_names, prepare, read
 from lossgrid.sources.scratch import fresh_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold; the classifier learns from the labels of these documents."""
-    ship_package(spark)
+    prepare(spark)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     (score,) = free_names(docs, "_score")
     scored = toxicity.score_texts(docs, model, score_col=score)
@@ -23,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each line kept in the first document that holds it."""
-    ship_package(spark)
+    prepare(spark)
     cleaned = line_dedup.drop_repeated_lines(docs)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast("long"))
@@ -32,13 +31,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
-    ship_package(spark)
+    prepare(spark)
     return near_dedup.keep_one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no item of the benchmark."""
-    ship_package(spark)
+    prepare(spark)
     (items,) = free_names(docs, "_items")
     found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"), out_col=items)
     return found.where(F.size(items) == 0).select(*docs.columns)
@@ -46,7 +45,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its tokens, and whether they decode to its text."""
-    ship_package(spark)
+    prepare(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")

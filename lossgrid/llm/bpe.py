@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from lossgrid.llm.common import free_names, text_of
 
 #: A worker remembers pieces of up to so many characters, twice so many pieces; others are encoded anew each time.
-MEMO_CHARS, MEMO_PIECES = 40, 300_000
+MEMO_CHARS, MEMO_PIECES = 40, 150_000
 
 #: Neighbour pairs remembered by a task.
-MEMO_PAIRS = 2_000_000
+MEMO_PAIRS = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossgrid.session import ship_package
 from lossgrid.sources.scratch import fresh_path
 
 #: White space between words and around lines, wherever a contract names ``[\x20\x09-\x0D]``.
@@ -14,7 +15,18 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Rows handed to a Python worker at a time: whole texts are long, and several workers share an executor's memory.
+BATCH_ROWS = "1000"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Workers that know the package and get their rows in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return ship_package(spark)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{table}.parquet")
 
 

@@ -47,10 +47,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class _WordHash(dict):
-    """Hash of a word, remembered for up to half a million words."""
+    """Hash of a word, remembered for up to 150,000 words."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value
@@ -276,17 +276,23 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
     turn = 0
     while True:
         turn += 1
-        sizes = members.groupBy("bucket").agg(
-            F.count("*").alias("n"),
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "node")).alias("pivot"),
+        of_class = members.groupBy("bucket", "label").agg(
+            F.count("*").alias("n"), F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("node")
         )
-        sizes = sizes.where(F.col("low") < F.col("high"))
-        open_ = cut_lineage(
-            members.join(sizes.select("bucket", "n", "pivot"), "bucket").select("bucket", "node", "label", "n", "pivot")
+        sizes = (
+            of_class.groupBy("bucket")
+            .agg(
+                F.count("*").alias("classes"),
+                # pairs of different classes, counted for both members
+                (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"),
+                F.sum("n").alias("n"),
+                F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "node")).alias("pivot"),
+            )
+            .where(F.col("classes") > 1)
         )
-        n, pairs = open_.agg(F.count("*"), F.sum((F.col("n") - 1) / 2)).first()
+        sizes = cut_lineage(sizes)
+        n, pairs = sizes.agg(F.sum("n"), F.sum(F.col("pairs") / 2)).first()
+        open_ = members.join(sizes.select("bucket", "pivot"), "bucket")
         if not n:
             return links
         last = pairs <= PAIRS_PER_MEMBER * n
@@ -303,7 +309,7 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
         # a pivot has met all members of its bucket
         members = open_.where(F.col("node") != F.col("pivot.node")).select("bucket", "node")
         labels = components(links)
-        members = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+        members = cut_lineage(members).join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -211,7 +211,7 @@ def restore(text: str, model: np.ndarray) -> str:
 # ---------------------------------------------------------------- features and classifier
 
 _WORD = re.compile(r"[^\W\d_]+")
-BUCKETS = 1 << 20
+BUCKETS = 1 << 19
 
 
 def features(word: str) -> list[str]:
@@ -349,7 +349,7 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score_col
                 for word in set(_WORD.findall(restore(text, known.letters).lower())):
                     hits = seen.get(word)
                     if hits is None:
-                        if len(seen) >= 500_000:
+                        if len(seen) >= 150_000:
                             seen.clear()
                         hits = seen[word] = of(word)
                     if hits:
