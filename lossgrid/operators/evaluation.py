@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lossgrid import config as C
 from lossgrid.functions.expr import share
 from lossgrid.operators.quality import stack
-from lossgrid.operators.scale import distributed_running_sums, exact_quantiles, sized_broadcast
+from lossgrid.operators.scale import distributed_running_sums, exact_quantiles
 
 
 def confusion(predictions: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -143,5 +143,5 @@ def stability_index(base: DataFrame, recent: DataFrame, score: str) -> DataFrame
 
 __all__ = [
     "auc_one_vs_rest", "calibration", "class_report", "confusion", "decile_edges", "model_thresholds", "regression_metrics",
-    "sized_broadcast", "stability_index", "weighted_auc",
+    "stability_index", "weighted_auc",
 ]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lossgrid import config as C
 from lossgrid.functions import features as X
-from lossgrid.operators.scale import distributed_row_number, quantile_columns, sized_broadcast
+from lossgrid.operators.scale import distributed_row_number, quantile_columns
 
 EMPLOYMENT = ("EMPLOYED", "SELF_EMPLOYED", "RETIRED", "UNEMPLOYED")
 
@@ -81,7 +81,7 @@ def categorical_levels(df: DataFrame, column: str) -> DataFrame:
 
 def apply_levels(df: DataFrame, column: str, levels: DataFrame) -> DataFrame:
     """Column mapped onto the learned levels; unseen values become ``__other__``."""
-    known = sized_broadcast(levels.withColumnRenamed("level", "_level"), ["_level"])
+    known = levels.withColumnRenamed("level", "_level")
     raw = F.coalesce(F.col(column).cast("string"), F.lit("__missing__"))
     mapped = df.withColumn("_raw", raw).join(known, F.col("_raw") == F.col("_level"), "left")
     other = levels.where(F.col("level") == "__other__").select("level_index").scalar()

@@ -51,12 +51,12 @@ def _grow(points: np.ndarray, seed: int) -> tuple[list, list, list, list]:
     return feature, split, left, depth
 
 
-def fit(df: DataFrame, columns: Sequence[str], trees: int = 100, seed: int = 42) -> list:
-    """Trees from at most ``trees * 256`` hash-chosen rows (a bounded top-k), grown one group per task."""
+def fit(df: DataFrame, columns: Sequence[str], trees: int = 100, seed: int = 42, sample: int = SAMPLE) -> list:
+    """Trees from ``trees * sample`` rows drawn by hash from all rows (a bounded top-k), grown one group per task."""
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
     pool = (
         df.select(loan_hash().alias("_h"), *filled)
-        .orderBy("_h").limit(trees * SAMPLE)
+        .orderBy("_h").limit(trees * sample)
         .withColumn("tree", (F.col("_h") % trees).cast("int"))
         .drop("_h")
     )

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossgrid.functions.expr import month_start
-from lossgrid.operators.scale import sized_broadcast
 
 
 def attach_predictions(loans: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -54,7 +53,7 @@ def macro_asof(loans: DataFrame, macro: DataFrame, columns: Sequence[str]) -> Da
         .where(F.col("_m").isNull())
         .select(F.col("_d").alias("origination_date"), "macro_date", *[F.col("_seen")[c].alias(c) for c in columns])
     )
-    return loans.join(sized_broadcast(seen, ["origination_date"]), "origination_date", "left")
+    return loans.join(seen, "origination_date", "left")
 
 
 def model_performance_snapshot(predictions: DataFrame, features: DataFrame) -> DataFrame:

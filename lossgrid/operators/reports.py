@@ -22,7 +22,6 @@ from lossgrid.functions.expr import (
     sum_if,
 )
 from lossgrid.operators.joins import with_latest_macro
-from lossgrid.operators.scale import sized_broadcast
 
 STAGE = F.col
 NPL = "npl_dpd_gt_90"
@@ -457,5 +456,5 @@ def portfolio_composition(results: DataFrame) -> DataFrame:
 
 
 def with_fx(results: DataFrame, rates: DataFrame, amounts: Sequence[str]) -> DataFrame:
-    joined = results.join(sized_broadcast(rates, ["currency"]), "currency", "left")
+    joined = results.join(rates, "currency", "left")
     return joined.withColumns({f"{a}_base": F.col(a) * F.col("rate") for a in amounts})

@@ -11,18 +11,20 @@ from pyspark.sql import functions as F
 from lossgrid import config as C
 from lossgrid.operators.scale import smallest_rank_threshold
 
-_MULTIPLIER = 2654435761
-_MODULUS = 1 << 52
+#: A prime and a factor below it: products of remainders fit a long and wrap for small ids too.
+_MODULUS = 2147483647
+HASH_FACTOR = 1103515245
 
 
-def loan_hash(loan_id: str = "loan_id") -> Column:
-    """Repeatable pseudo-random key of a loan: odd multiplier modulo 2^52, hence one to one."""
-    return (F.substring(loan_id, 2, 18).cast("long") * F.lit(_MULTIPLIER)) % F.lit(_MODULUS)
+def loan_hash(loan_id: str = "loan_id", factor: int = HASH_FACTOR) -> Column:
+    """Repeatable pseudo-random key of a loan, one to one for numbers below the modulus; ties go by loan id."""
+    number = F.substring(loan_id, 2, 18).cast("long")
+    return ((number % F.lit(_MODULUS)) * F.lit(factor).cast("long")) % F.lit(_MODULUS)
 
 
 def sample_n(df: DataFrame, n: int) -> DataFrame:
     """n rows by hash order: every task keeps n candidates, so nothing is sorted globally."""
-    return df.withColumn("_h", loan_hash()).orderBy("_h").limit(n).drop("_h")
+    return df.withColumn("_h", loan_hash()).orderBy("_h", "loan_id").limit(n).drop("_h")
 
 
 def stratified_sample(df: DataFrame, stratum: str, sizes: Mapping[str, int]) -> DataFrame:

@@ -9,24 +9,10 @@ from pyspark.sql import functions as F
 
 from lossgrid.sources.scratch import cut_lineage
 
-#: rows up to which a keyed table is broadcast; beyond it the join stays a shuffle join
-BROADCAST_ROWS = 200_000
-
 #: rank accuracy of the sketch that brackets an exact quantile
 SKETCH_ACCURACY = 20_000
 
 
-def sized_broadcast(small: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a count of the distinct keys.
-
-    The count reads only the key columns and stops at ``max_rows + 1``.  Above
-    the bound the frame is returned as is: Catalyst then joins by shuffle and
-    AQE splits skewed partitions.
-    """
-    n = small.select(*keys).distinct().limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def attach_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column) -> DataFrame:
     """Group aggregates on every row.
 
@@ -35,7 +21,7 @@ def attach_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column) -> Da
     """
     keys = list(keys)
     summary = df.groupBy(*keys).agg(*stats)
-    return df.join(sized_broadcast(summary, keys), keys, "left")
+    return df.join(summary, keys, "left")
 
 
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -107,7 +93,7 @@ def exact_quantiles(
     # outside every bracket: the highest upper edge below the value (null = before the first bracket)
     floor_edge = F.greatest(*[F.when(v > hi, hi) for _, hi in brackets], F.lit(None).cast("double"))
     if by:
-        bracketed = values.join(sized_broadcast(sketch, group), group)
+        bracketed = values.join(sketch, group)
     elif len(columns) > 1:
         bracketed = values.join(F.broadcast(sketch), group)  # one row per column
     else:  # a single row: a scalar, because a join on the constant column name would have no key left
@@ -175,7 +161,7 @@ def smallest_rank_threshold(
     kept = v.between(lo, hi) | (F.col("n") <= accuracy)
     collapsed = F.when(kept, v).otherwise(F.when(v > hi, hi))
     counts = (
-        values.join(F.broadcast(sketch) if bounded else sized_broadcast(sketch, group), group)
+        values.join(F.broadcast(sketch) if bounded else sketch, group)
         .select(*group, "n", collapsed.alias("value"))
         .groupBy(*group, "value")
         .agg(F.first("n").alias("n"), F.count("*").alias("c"))
@@ -216,7 +202,7 @@ def distributed_row_number(
     starts = rows.groupBy(*part, "_pid").agg(F.min("_pos").alias("_start"), F.count("*").alias("_c"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
-    joined = rows.join(sized_broadcast(starts, [*part, "_pid"]), [*part, "_pid"])
+    joined = rows.join(starts, [*part, "_pid"])
     rn = F.col("_pos") - F.col("_start") + F.col("_before") + 1
     return joined.withColumn(name, rn.cast("long")).drop("_at", "_pid", "_pos", "_start", "_before")
 
@@ -235,7 +221,7 @@ def distributed_running_sums(
     )
     within = Window.partitionBy(*part, "_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     local = {f"_l_{n}": F.coalesce(F.sum(n).over(within), F.lit(0)) for n in names}
-    joined = rows.withColumns(local).join(sized_broadcast(totals, [*part, "_pid"]), [*part, "_pid"])
+    joined = rows.withColumns(local).join(totals, [*part, "_pid"])
     return joined.withColumns({f"{n}_before": F.col(f"_l_{n}") + F.col(f"_b_{n}") for n in names}).drop(
         "_at", "_pid", "_pos", *[f"_l_{n}" for n in names], *[f"_b_{n}" for n in names]
     )
@@ -259,7 +245,7 @@ def distributed_lag(
     across = Window.partitionBy(*part).orderBy("_pid")
     tails = tails.select(*part, "_pid", "_first", F.lag("_tail").over(across).alias("_before"))
     local = {f"_l_{n}": F.lag(c).over(within) for n, c in columns.items()}
-    joined = rows.withColumns(local).join(sized_broadcast(tails, [*part, "_pid"]), [*part, "_pid"])
+    joined = rows.withColumns(local).join(tails, [*part, "_pid"])
     at_start = F.col("_pos") == F.col("_first")
     picked = {n: F.when(at_start, F.col("_before")[c]).otherwise(F.col(f"_l_{n}")) for n, c in columns.items()}
     return joined.withColumns(picked).drop(

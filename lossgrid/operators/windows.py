@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 from lossgrid.config import DEFAULTS
 from lossgrid.functions.expr import month_start, pct, share
 from lossgrid.operators.reports import credit_quality_monthly
-from lossgrid.operators.scale import distributed_row_number, sized_broadcast
-
-#: payments of one loan up to which a single window partition is fine
-LOAN_WINDOW_ROWS = 1_000_000
+from lossgrid.operators.scale import distributed_row_number
 
 PAYMENT_ORDER = ("payment_date", "line_no", "l_partkey", "l_suppkey")
 
@@ -95,20 +92,8 @@ def _missed() -> Column:
     return (F.col("payment_status") == "MISSED").cast("long")
 
 
-def _streaks_plain(payments: DataFrame) -> DataFrame:
-    w = Window.partitionBy("loan_id").orderBy(*PAYMENT_ORDER)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    return payments.withColumns(
-        {
-            "payment_no": F.row_number().over(w).cast("long"),
-            "previous_status": F.lag("payment_status").over(w),
-            "missed_so_far": F.sum(_missed()).over(upto),
-        }
-    )
-
-
-def _streaks_split(payments: DataFrame) -> DataFrame:
-    """Same answer with every loan cut into calendar months.
+def payment_streaks(payments: DataFrame) -> DataFrame:
+    """Payment number, previous status and missed payments so far, per loan cut into calendar months.
 
     Months are summarised first; each row then needs only its month's rows and
     the summary of the months before.
@@ -144,16 +129,6 @@ def _streaks_split(payments: DataFrame) -> DataFrame:
     )
 
 
-def payment_streaks(payments: DataFrame, max_rows: int = LOAN_WINDOW_ROWS) -> DataFrame:
-    """Payment number, previous status and missed payments so far, per loan.
-
-    One cheap pass over the key column measures the largest loan; only when it is
-    too big for one task are loans split by month.
-    """
-    largest = payments.groupBy("loan_id").count().agg(F.max("count")).first()[0] or 0
-    return _streaks_plain(payments) if largest <= max_rows else _streaks_split(payments)
-
-
 # -- macro series ------------------------------------------------------------
 
 
@@ -205,5 +180,5 @@ def as_of() -> Column:
 
 __all__ = [
     "credit_quality_trends", "cycle_phase", "day_over_day", "payment_streaks", "persistence", "series_gap_check",
-    "share_of_total", "sized_broadcast", "stage_rank", "top_exposures",
+    "share_of_total", "stage_rank", "top_exposures",
 ]

@@ -643,11 +643,11 @@ def _(t):
     "normalize_stage_label",
     """SELECT loan_id, CASE WHEN id%4=0 THEN 'Stage ' || substr(stage,7,1) WHEN id%4=1 THEN 'Stage' || substr(stage,7,1)
          WHEN id%4=2 THEN substr(stage,7,1) ELSE stage END AS raw_label, stage AS stage
-       FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS INT) AS id FROM {staged}) q""",
+       FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS BIGINT) AS id FROM {staged}) q""",
 )
 def _(t):
     number = F.substring("stage", 7, 1)
-    form = F.substring("loan_id", 2, 6).cast("int") % 4
+    form = F.substring("loan_id", 2, 18).cast("long") % 4
     raw = (
         F.when(form == 0, F.concat(F.lit("Stage "), number))
         .when(form == 1, F.concat(F.lit("Stage"), number))

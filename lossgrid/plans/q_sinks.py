@@ -42,7 +42,7 @@ def _(t):
 @query(
     "normalize_datetimes",
     """SELECT loan_id, CAST(origination_date AS TIMESTAMP) AS origination_date,
-         CASE WHEN CAST(substr(loan_id,2) AS INT)%97=5 THEN NULL ELSE CAST(maturity_date AS TIMESTAMP) END AS maturity_text,
+         CASE WHEN CAST(substr(loan_id,2) AS BIGINT)%97=5 THEN NULL ELSE CAST(maturity_date AS TIMESTAMP) END AS maturity_text,
          CAST(origination_date AS TIMESTAMP) - INTERVAL '2 hours' AS created_at FROM {loans}""",
 )
 def _(t):
@@ -51,7 +51,7 @@ def _(t):
 
 def _texts(t):
     """Dates as a date column, as text with faults, and as text with a zone."""
-    bad = F.substring("loan_id", 2, 6).cast("int") % 97 == 5
+    bad = F.substring("loan_id", 2, 18).cast("long") % 97 == 5
     return t.loans.select(
         "loan_id",
         "origination_date",
@@ -63,7 +63,7 @@ def _texts(t):
 @query(
     "datetime_conversion_report",
     """SELECT 'origination_date' AS column_name, 'date' AS data_type, CAST(0 AS BIGINT) AS unconvertible, true AS conversion_safe FROM {loans} HAVING count(*)>0
-       UNION ALL SELECT 'maturity_text', 'string', count(*) FILTER (CAST(substr(loan_id,2) AS INT)%97=5), count(*) FILTER (CAST(substr(loan_id,2) AS INT)%97=5)=0 FROM {loans}
+       UNION ALL SELECT 'maturity_text', 'string', count(*) FILTER (CAST(substr(loan_id,2) AS BIGINT)%97=5), count(*) FILTER (CAST(substr(loan_id,2) AS BIGINT)%97=5)=0 FROM {loans}
        UNION ALL SELECT 'created_at', 'string', CAST(0 AS BIGINT), true FROM {loans} HAVING count(*)>0""",
 )
 def _(t):

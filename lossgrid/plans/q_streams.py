@@ -160,7 +160,7 @@ def _(t):
 
 @query(
     "ecl_by_currency",
-    """SELECT CASE CAST(substr(loan_id,2) AS INT)%5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' WHEN 3 THEN 'CAD' ELSE 'AUD' END AS currency,
+    """SELECT CASE CAST(substr(loan_id,2) AS BIGINT)%5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' WHEN 3 THEN 'CAD' ELSE 'AUD' END AS currency,
          sum(calculated_ecl) AS total_ecl, 100.0E0*sum(calculated_ecl)/sum(calculated_ead) AS coverage FROM {results} GROUP BY 1""",
     money="total_ecl",
     ratio="coverage",

@@ -64,7 +64,7 @@ def _(t):
 @query(
     "fx_convert",
     """SELECT loan_id, currency, loan_amount*rate AS loan_amount_base, current_balance*rate AS current_balance_base
-       FROM (SELECT loan_id, loan_amount, current_balance, CASE CAST(substr(loan_id,2) AS INT)%5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' WHEN 3 THEN 'CAD' ELSE 'AUD' END AS currency FROM {loans}) l
+       FROM (SELECT loan_id, loan_amount, current_balance, CASE CAST(substr(loan_id,2) AS BIGINT)%5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' WHEN 3 THEN 'CAD' ELSE 'AUD' END AS currency FROM {loans}) l
        JOIN (VALUES ('EUR', 1.0E0), ('USD', 0.9E0), ('GBP', 1.15E0), ('CAD', 0.68E0), ('AUD', 0.6E0)) r(cur, rate) ON cur=currency""",
 )
 def _(t):
@@ -74,7 +74,7 @@ def _(t):
 
 
 def with_currency(loans):
-    code = F.element_at(F.array(*[F.lit(c) for c in C.CURRENCIES]), (F.substring("loan_id", 2, 18).cast("int") % 5 + 1).cast("int"))
+    code = F.element_at(F.array(*[F.lit(c) for c in C.CURRENCIES]), (F.substring("loan_id", 2, 18).cast("long") % 5 + 1).cast("int"))
     return loans.withColumn("currency", code)
 
 

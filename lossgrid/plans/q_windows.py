@@ -13,7 +13,7 @@ from lossgrid.plans.registry import SQL_ONLY, query
 from lossgrid.sources.schemas import REQUIRED_LOAN_COLUMNS, schema_column_diff
 
 SQL_ONLY["hashed"] = """
-SELECT s.*, (CAST(substr(loan_id,2) AS BIGINT) * 2654435761) % 4503599627370496 AS h FROM {staged} s
+SELECT s.*, ((CAST(substr(loan_id,2) AS BIGINT) % 2147483647) * 1103515245) % 2147483647 AS h FROM {staged} s
 """
 
 
@@ -136,7 +136,7 @@ def _(t):
     return t.loans.select("loan_id").orderBy("loan_id").offset(200).limit(100)
 
 
-@query("sample_n", "SELECT loan_id, stage FROM {hashed} ORDER BY h LIMIT 500")
+@query("sample_n", "SELECT loan_id, stage FROM {hashed} ORDER BY h, loan_id LIMIT 500")
 def _(t):
     return S.sample_n(t.staged.select("loan_id", "stage"), 500)
 
@@ -144,7 +144,7 @@ def _(t):
 @query(
     "stratified_sample",
     """SELECT loan_id, stage, CASE WHEN stage='STAGE_1' THEN 'credit_score,loan_amount,dti_ratio' ELSE 'credit_score,days_past_due,ltv_ratio' END AS expected_top_features
-       FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY h) AS rk FROM {hashed}) q
+       FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY h, loan_id) AS rk FROM {hashed}) q
        WHERE rk <= CASE stage WHEN 'STAGE_3' THEN 2000 WHEN 'STAGE_2' THEN 5000 ELSE 3000 END""",
 )
 def _(t):
@@ -178,7 +178,7 @@ def _(t):
 @query(
     "split_stratified",
     """SELECT loan_id, stage, rk <= floor(0.8E0*n) AS is_train
-       FROM (SELECT loan_id, stage, row_number() OVER (PARTITION BY stage ORDER BY h) AS rk, count(*) OVER (PARTITION BY stage) AS n FROM {hashed}) q""",
+       FROM (SELECT loan_id, stage, row_number() OVER (PARTITION BY stage ORDER BY h, loan_id) AS rk, count(*) OVER (PARTITION BY stage) AS n FROM {hashed}) q""",
 )
 def _(t):
     return S.split_stratified(t.staged.select("loan_id", "stage"), "stage").select("loan_id", "stage", "is_train")

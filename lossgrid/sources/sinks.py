@@ -9,12 +9,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: rows up to which one output file is reasonable
-SINGLE_FILE_ROWS = 1_000_000
-
-#: rows above which only the columnar format is written
-MULTI_FORMAT_ROWS = 500_000
-
 
 def write_results(df: DataFrame, root: str, run: str) -> str:
     """Snappy parquet in a directory named by the run."""
@@ -23,11 +17,15 @@ def write_results(df: DataFrame, root: str, run: str) -> str:
     return path
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> str:
-    """One file for a small result; a larger one is split by rows instead of forced through one task."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    writer = df.coalesce(1).write if small else df.write.option("maxRecordsPerFile", max_rows)
-    writer.mode("overwrite").parquet(path)
+def write_single_file(df: DataFrame, path: str) -> str:
+    """One file, written by one task: for aggregated results."""
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def write_split_files(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> str:
+    """Files of bounded length, written where the rows are: for results of any size."""
+    df.write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(path)
     return path
 
 
@@ -71,9 +69,7 @@ def write_versioned(df: DataFrame, root: str, table: str, run_ts: str) -> str:
 
 
 def write_formats(df: DataFrame, root: str, formats: Sequence[str] = ("parquet", "csv", "json")) -> list[str]:
-    """Same dataset in several formats; large ones only in parquet."""
-    if df.limit(MULTI_FORMAT_ROWS + 1).count() > MULTI_FORMAT_ROWS:
-        formats = ["parquet"]
+    """Same dataset in each of the formats, whatever its size."""
     for f in formats:
         writer = df.write.mode("overwrite").format(f)
         (writer.option("header", True) if f == "csv" else writer).save(f"{root}/{f}")

@@ -38,7 +38,7 @@ x AS (SELECT b.*, 18000 + (c_acctbal+1000)*10 AS customer_income,
 y AS (SELECT x.*, o_totalprice*((30+(o_orderkey*13)%71)/100.0E0) AS current_balance,
   CASE loan_type WHEN 'MORTGAGE' THEN o_totalprice*((105+o_orderkey%40)/100.0E0) WHEN 'AUTO' THEN o_totalprice*((100+o_orderkey%40)/100.0E0) WHEN 'BUSINESS' THEN o_totalprice*((104+o_orderkey%70)/100.0E0) ELSE 0.0E0 END AS collateral_value,
   o_totalprice/term_months + o_totalprice*(interest_rate/1200.0E0) AS monthly_payment FROM x)
-SELECT 'L' || lpad(CAST(o_orderkey AS STRING),6,'0') AS loan_id, 'C' || lpad(CAST(o_custkey AS STRING),6,'0') AS customer_id,
+SELECT 'L' || CASE WHEN o_orderkey < 1000000 THEN lpad(CAST(o_orderkey AS STRING),6,'0') ELSE CAST(o_orderkey AS STRING) END AS loan_id, 'C' || CASE WHEN o_custkey < 1000000 THEN lpad(CAST(o_custkey AS STRING),6,'0') ELSE CAST(o_custkey AS STRING) END AS customer_id,
   o_totalprice AS loan_amount, interest_rate, term_months, loan_type, CAST(o_orderdate AS DATE) AS origination_date,
   CAST(o_orderdate AS DATE) + CAST(term_months*30 AS INT) AS maturity_date, collateral_value,
   CASE WHEN collateral_value>0 THEN o_totalprice/collateral_value END AS ltv_ratio, monthly_payment, customer_income,
@@ -57,14 +57,14 @@ FROM {loans} l
 """
 
 DERIVED["customers"] = """
-SELECT 'C' || lpad(CAST(c_custkey AS STRING),6,'0') AS customer_id, c_mktsegment AS segment, r_name AS region,
+SELECT 'C' || CASE WHEN c_custkey < 1000000 THEN lpad(CAST(c_custkey AS STRING),6,'0') ELSE CAST(c_custkey AS STRING) END AS customer_id, c_mktsegment AS segment, r_name AS region,
   18000 + (c_acctbal+1000)*10 AS annual_income,
   CASE c_custkey%4 WHEN 0 THEN 'EMPLOYED' WHEN 1 THEN 'SELF_EMPLOYED' WHEN 2 THEN 'RETIRED' ELSE 'UNEMPLOYED' END AS employment_status
 FROM {customer} c JOIN {nation} n ON c.c_nationkey=n.n_nationkey JOIN {region} r ON n.n_regionkey=r.r_regionkey
 """
 
 DERIVED["payments"] = """
-SELECT 'L' || lpad(CAST(l_orderkey AS STRING),6,'0') AS loan_id, l_linenumber AS line_no, l_partkey, l_suppkey,
+SELECT 'L' || CASE WHEN l_orderkey < 1000000 THEN lpad(CAST(l_orderkey AS STRING),6,'0') ELSE CAST(l_orderkey AS STRING) END AS loan_id, l_linenumber AS line_no, l_partkey, l_suppkey,
   CAST(l_shipdate AS DATE) AS payment_date, l_extendedprice AS scheduled_payment,
   CASE WHEN (l_partkey*l_suppkey)%997=3 THEN l_extendedprice*2.5E0 WHEN (l_partkey+l_suppkey)%499=7 THEN 0.0E0
        WHEN (l_partkey*13+l_suppkey)%20=0 THEN 0.0E0 WHEN (l_partkey*13+l_suppkey)%20<3 THEN l_extendedprice*0.5E0
@@ -89,7 +89,7 @@ SELECT loan_id, DATE '2001-12-31' - CAST(30*k AS INT) AS transition_date,
             WHEN stage='STAGE_2' THEN CASE WHEN (id+k*7)%10<3 THEN 1 ELSE 2 END
             ELSE CASE WHEN (id+k)%97=1 THEN 3 ELSE 1 END END AS INT) AS from_stage,
   CAST(substr(stage,7,1) AS INT) AS to_stage
-FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS INT) AS id FROM {staged}) s
+FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS BIGINT) AS id FROM {staged}) s
 CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11)) AS o(k)
 WHERE id%15=0
 """
@@ -100,13 +100,13 @@ SELECT loan_id, DATE '2001-12-31' AS prediction_date, 'rf' AS model_name, 'v1' A
   CASE WHEN id%20=0 THEN CASE stage WHEN 'STAGE_1' THEN 'STAGE_2' WHEN 'STAGE_2' THEN 'STAGE_3' ELSE 'STAGE_2' END ELSE stage END AS predicted_stage,
   (50 + (id*17)%50)/100.0E0 AS confidence,
   ((id*23)%1000)/1000.0E0 AS probability_default
-FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS INT) AS id FROM {staged}) s
+FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS BIGINT) AS id FROM {staged}) s
 """
 
 DERIVED["features"] = """
 SELECT loan_id, 'fs1' AS feature_set_version, credit_score AS behaviour_score,
   current_balance/loan_amount AS utilisation_rate, days_past_due AS delinquency_days
-FROM {loans} WHERE CAST(substr(loan_id,2) AS INT)%11<>0
+FROM {loans} WHERE CAST(substr(loan_id,2) AS BIGINT)%11<>0
 """
 
 DERIVED["telemetry"] = """
@@ -125,19 +125,19 @@ SELECT CASE WHEN id%101=1 THEN 'INVALID_ID' ELSE loan_id END AS loan_id, custome
   CAST(CASE WHEN id%127=6 THEN -5 ELSE days_past_due END AS INT) AS days_past_due,
   CASE WHEN id%131=7 THEN loan_amount*1.1E0 ELSE current_balance END AS current_balance,
   CASE WHEN id%137=8 THEN 'INVALID_STAGE' WHEN id%139=9 THEN 'STAGE_3' ELSE stage END AS provision_stage
-FROM (SELECT s.*, CAST(substr(loan_id,2) AS INT) AS id FROM {staged} s) q
+FROM (SELECT s.*, CAST(substr(loan_id,2) AS BIGINT) AS id FROM {staged} s) q
 UNION ALL
 SELECT loan_id, customer_id, loan_amount, interest_rate, term_months, loan_type, credit_score, days_past_due, current_balance, stage
-FROM {staged} WHERE CAST(substr(loan_id,2) AS INT)%211=10
+FROM {staged} WHERE CAST(substr(loan_id,2) AS BIGINT)%211=10
 """
 
 # Spark-side text of tables whose portable SQL would need a cross join
 SPARK_TEXT = {
     "transitions": DERIVED["transitions"].replace(
-        "FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS INT) AS id FROM {staged}) s\n"
+        "FROM (SELECT loan_id, stage, CAST(substr(loan_id,2) AS BIGINT) AS id FROM {staged}) s\n"
         "CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11)) AS o(k)\n",
         "FROM (SELECT loan_id, stage, id, explode(sequence(0, 11)) AS k FROM "
-        "(SELECT loan_id, stage, CAST(substr(loan_id,2) AS INT) AS id FROM {staged}))\n",
+        "(SELECT loan_id, stage, CAST(substr(loan_id,2) AS BIGINT) AS id FROM {staged}))\n",
     )
 }
 

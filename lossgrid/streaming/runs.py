@@ -15,12 +15,11 @@ from lossgrid.sources.scratch import fresh_path
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared-schema file stream over the events table."""
-    return (
-        spark.readStream.schema(TELEMETRY_SOURCE_DDL)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    """Declared-schema file stream over the events table, one file or a folder of part files.
+
+    As a pattern, since a stream takes a plain path for a folder.
+    """
+    return spark.readStream.schema(TELEMETRY_SOURCE_DDL).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
 
 
 def _sink(path: str, keep_all: bool) -> Callable[[DataFrame, int], None]:

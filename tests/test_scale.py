@@ -5,12 +5,13 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lossgrid.operators import scale as S
 from lossgrid.operators import windows as W
 from lossgrid.operators.evaluation import auc_one_vs_rest
-from lossgrid.operators.sampling import split_stratified
+from lossgrid.operators.sampling import loan_hash, split_stratified
 
 
 @pytest.fixture(scope="module")
@@ -83,17 +84,42 @@ def test_auc_against_pairs(spark):
     assert got == pytest.approx(((pos > neg) + 0.5 * (pos == neg)).mean())
 
 
-def test_streaks_split_equals_plain(tables):
+def test_streaks_equal_whole_loan_windows(tables):
     columns = ["loan_id", "line_no", "l_partkey", "l_suppkey", "payment_no", "previous_status", "missed_so_far"]
     third = F.when(F.col("l_partkey") % 3 == 0, "L000000").otherwise(F.col("loan_id"))
     pays = tables.payments.withColumn("loan_id", third).dropDuplicates(["loan_id", *W.PAYMENT_ORDER])
-    plain = W.payment_streaks(pays).select(*columns, "payment_date")
-    split = W.payment_streaks(pays, max_rows=10).select(*columns, "payment_date")
+    order = Window.partitionBy("loan_id").orderBy(*W.PAYMENT_ORDER)
+    missed = (F.col("payment_status") == "MISSED").cast("long")
+    plain = pays.withColumns(
+        {
+            "payment_no": F.row_number().over(order).cast("long"),
+            "previous_status": F.lag("payment_status").over(order),
+            "missed_so_far": F.sum(missed).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    ).select(*columns, "payment_date")
+    split = W.payment_streaks(pays).select(*columns, "payment_date")
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
 
 
-def test_group_stats_without_broadcast(frame):
+def test_group_stats_start_no_job(spark, frame):
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("group-stats", "")
     small = S.attach_group_stats(frame, ["k"], F.count("*").alias("n"))
+    assert not status.getJobIdsForGroup("group-stats")
     assert small.where("k = 'hot'").select("n").first().n >= 2000
-    plain = S.sized_broadcast(frame.groupBy("k").count(), ["k"], max_rows=3)
-    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
+
+
+@pytest.mark.parametrize("n", [1_500, 15_000, 2_000_000])
+def test_hash_is_no_order(spark, n):
+    number = F.col("id") * (1 if n < 1_000_000 else 4_001)
+    rows = spark.range(0, n, max(1, n // 1_500)).select(F.concat(F.lit("L"), number.cast("string")).alias("loan_id"), number.alias("v"))
+    assert abs(rows.select(F.corr(loan_hash(), F.col("v"))).first()[0]) < 0.08
+
+
+def test_ids_keep_all_digits(spark):
+    from lossgrid.sources.tables import DERIVED
+
+    keys = [5, 99_999, 999_999, 1_000_000, 1_000_001, 9_999_999_999]
+    text = DERIVED["payments"].split(" AS loan_id")[0].split("SELECT ")[1]
+    got = spark.createDataFrame([(k,) for k in keys], "l_orderkey long").selectExpr(f"{text} AS loan_id").collect()
+    assert [r.loan_id for r in got] == ["L000005", "L099999", "L999999", "L1000000", "L1000001", "L9999999999"]
