@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.llm.common import col, free_names, text_of, written
-from lossgrid.sources.scratch import cut_lineage
 
 WORDS, SIMILARITY = 5, 0.8
 
@@ -32,8 +31,15 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 42, 6
 SLOTS = BANDS * ROWS
 
-#: Pairs of different classes are compared directly once there are at most so many of them per bucket member.
-PAIRS_PER_MEMBER = 4
+#: Four bits of every slot, 16 slots to a long: what pairs are tried on before their texts are fetched.
+SKETCH = -(-SLOTS // 16)
+
+#: Slots in which sketches may differ: six deviations above the mean of a pair at the threshold.
+_APART = (1 - SIMILARITY) * 15 / 16
+FAR = int(SLOTS * _APART + 6 * math.sqrt(SLOTS * _APART * (1 - _APART)))
+
+#: Sketches of different classes are compared directly once there are at most so many such pairs per bucket member.
+PAIRS_PER_MEMBER = 50
 
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -175,22 +181,37 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _print_texts(texts: list[str]) -> list[tuple[int, int, list[int]]]:
-    """Two hashes of the words of each text, and its buckets."""
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """The last four bits of the slots, packed."""
+    bits = np.zeros((len(signature), SKETCH * 16), dtype=np.uint64)
+    bits[:, :SLOTS] = signature & np.uint64(15)
+    bits = bits.reshape(len(signature), SKETCH, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return np.bitwise_or.reduce(bits, axis=2).view(np.int64)
+
+
+def slots_apart(a: str, b: str) -> str:
+    """SQL: in how many slots two sketches differ."""
+    each = (f"get({a}, {k}) ^ get({b}, {k})" for k in range(SKETCH))
+    folded = (f"({x}) | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3)" for x in each)
+    return " + ".join(f"bit_count(({x}) & {0x1111111111111111})" for x in folded)
+
+
+def _print_texts(texts: list[str]) -> list[tuple[int, int, list[int], list[int]]]:
+    """Two hashes of the words of each text, its buckets and its sketch."""
     split = [words_of(t) for t in texts]
     bags = [weighted(w) for w in split]
-    keys = band_keys(signatures(bags))
+    signed = signatures(bags)
     out = []
-    for words, bag, key in zip(split, bags, keys):
+    for words, bag, key, sketch in zip(split, bags, band_keys(signed), sketches(signed)):
         plain = " ".join(words).encode("utf-8", "surrogatepass")
         digests = [xxhash.xxh64_intdigest(plain, seed) - (1 << 63) for seed in (1, 2)]
-        out.append((*digests, key.tolist() if len(bag[0]) else []))
+        out.append((*digests, key.tolist() if len(bag[0]) else [], sketch.tolist()))
     return out
 
 
 def _printed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
-        rows: list[tuple[int, int, list[int]]] = []
+        rows: list[tuple[int, int, list[int], list[int]]] = []
         waiting: list[str] = []
         chars = 0
         for text in texts:
@@ -201,7 +222,7 @@ def _printed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
                 waiting, chars = [], 0
         if waiting:
             rows += _print_texts(waiting)
-        yield pd.DataFrame(rows, columns=["h1", "h2", "bands"])
+        yield pd.DataFrame(rows, columns=["h1", "h2", "bands", "sketch"])
 
 
 def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -216,9 +237,9 @@ def components(edges: DataFrame) -> DataFrame:
     Each turn hands every node the smallest label of its neighbours and then follows labels to their own, so that long
     chains shrink by halves.
     """
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
-    labels = cut_lineage(labels)
+    labels = written(labels, "labels")
     while True:
         heard = (
             both.join(labels, both["b"] == labels["node"])
@@ -226,9 +247,10 @@ def components(edges: DataFrame) -> DataFrame:
             .agg(F.min("label").alias("heard"))
         )
         nearer = labels.join(heard, "node").select("node", "label", F.least("label", "heard").alias("to"))
+        nearer = written(nearer, "labels")
         jump = nearer.select(F.col("node").alias("to"), F.col("to").alias("on"))
         after = nearer.join(jump, "to").select("node", "label", F.least("to", "on").alias("next"))
-        after = cut_lineage(after)
+        after = written(after, "labels")
         changed = after.where(F.col("next") < F.col("label")).limit(1).count()
         labels = after.select("node", F.col("next").alias("label"))
         if not changed:
@@ -244,16 +266,18 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     document: their texts are in one class.  An empty table has no classes.
     """
     rows = docs.select(node_of(id_col, text_col).alias("node"), text_of(text_col).alias("text"))
-    printed = F.pandas_udf(_printed, "struct<h1:bigint,h2:bigint,bands:array<bigint>>")
+    printed = F.pandas_udf(_printed, "struct<h1:bigint,h2:bigint,bands:array<bigint>,sketch:array<bigint>>")
     prints = written(rows.select("node", printed("text").alias("p")).select("node", "p.*"), "prints")
-    reps = prints.groupBy("h1", "h2").agg(F.min("node").alias("rep"), F.first("bands").alias("bands"))
+    reps = prints.groupBy("h1", "h2").agg(F.min("node").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     copies = prints.select("node", "h1", "h2").join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).select("node", "rep")
     copies = written(copies.distinct(), "copies")
 
+    reps = written(reps, "reps")
     slots = reps.select("rep", F.explode("bands").alias("bucket"))
     full = slots.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     full = full.where(F.col("low") < F.col("high")).select("bucket")
-    members = written(slots.join(full, "bucket").select("bucket", F.col("rep").alias("node")).distinct(), "members")
+    found = slots.join(full, "bucket").distinct().join(reps.select("rep", "sketch"), "rep")
+    members = written(found.select("bucket", F.col("rep").alias("node"), "sketch"), "members")
     wanted = members.select("node").distinct()
     texts = written(rows.join(wanted, "node").dropDuplicates(["node"]), "texts")
 
@@ -276,8 +300,9 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
     turn = 0
     while True:
         turn += 1
+        chance = F.xxhash64(F.lit(turn), "node")
         of_class = members.groupBy("bucket", "label").agg(
-            F.count("*").alias("n"), F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("node")
+            F.count("*").alias("n"), F.min_by(F.struct("node", "label", "sketch"), chance).alias("pivot")
         )
         sizes = (
             of_class.groupBy("bucket")
@@ -286,30 +311,33 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
                 # pairs of different classes, counted for both members
                 (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"),
                 F.sum("n").alias("n"),
-                F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "node")).alias("pivot"),
+                F.min_by("pivot", F.xxhash64(F.lit(turn), "pivot.node")).alias("pivot"),
             )
             .where(F.col("classes") > 1)
         )
-        sizes = cut_lineage(sizes)
+        sizes = written(sizes, "buckets")
         n, pairs = sizes.agg(F.sum("n"), F.sum(F.col("pairs") / 2)).first()
-        open_ = members.join(sizes.select("bucket", "pivot"), "bucket")
         if not n:
             return links
         last = pairs <= PAIRS_PER_MEMBER * n
         if last:
-            other = open_.select("bucket", F.col("node").alias("b"), F.col("label").alias("other"))
-            pairs = open_.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")))
-            pairs = pairs.select(F.col("node").alias("a"), "b")
+            one = members.join(sizes.select("bucket"), "bucket").select("bucket", "node", "label", "sketch")
+            two = one.toDF("other", "node_2", "label_2", "sketch_2")
+            near = F.expr(f"node < node_2 AND label <> label_2 AND {slots_apart('sketch', 'sketch_2')} <= {FAR}")
+            pairs = one.join(two, (F.col("bucket") == F.col("other")) & near)
+            pairs = pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
         else:
-            apart = (F.col("label") != F.col("pivot.label")) & (F.col("node") != F.col("pivot.node"))
-            pairs = open_.where(apart).select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+            open_ = members.join(sizes.select("bucket", "pivot"), "bucket")
+            near = F.expr(f"label <> pivot.label AND {slots_apart('sketch', 'pivot.sketch')} <= {FAR}")
+            pairs = open_.where(near).select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
         links = links.union(_similar(pairs.distinct(), texts))
         if last:
             return links
         # a pivot has met all members of its bucket
-        members = open_.where(F.col("node") != F.col("pivot.node")).select("bucket", "node")
-        labels = components(links)
-        members = cut_lineage(members).join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+        members = open_.where(F.col("node") != F.col("pivot.node")).select("bucket", "node", "sketch")
+        members = members.join(components(links), "node", "left")
+        members = members.select("bucket", "node", "sketch", F.coalesce("label", "node").alias("label"))
+        members = written(members, "members")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -317,7 +345,7 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a, b = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     similarity = F.pandas_udf(_similarity, "double")
     scored = pairs.join(a, "a").join(b, "b").select("a", "b", similarity("text_a", "text_b").alias("s"))
-    return cut_lineage(scored.where(F.col("s") >= SIMILARITY).select("a", "b"))
+    return written(scored.where(F.col("s") >= SIMILARITY).select("a", "b"), "links")
 
 
 def node_of(id_col: str = "doc_id", text_col: str = "text"):

@@ -74,7 +74,7 @@ def page_lines(source: str) -> list[Line]:
     lines: list[Line] = []
     text: list[str] = []
     inside, skipping, depth = 0, "", 0
-    at, n = 0, len(source)
+    at, n, last_gt = 0, len(source), source.rfind(">")
 
     def flush() -> None:
         if text:
@@ -94,6 +94,9 @@ def page_lines(source: str) -> list[Line]:
             end = source.find("-->", lt + 4)
             at = n if end < 0 else end + 3
             continue
+        if lt > last_gt:  # nothing closes any more
+            text.append(source[lt:])
+            break
         found = _TAG.match(source, lt)
         if not found:
             if source.startswith(("<!", "<?"), lt):

@@ -83,7 +83,7 @@ def listed(spans: list[Span]) -> str:
 # ---------------------------------------------------------------- candidate segments
 
 #: Longest segment, in pieces and characters; characters read on both sides of a trigger.
-MAX_PIECES, MAX_CHARS, AROUND = 24, 80, 80
+MAX_PIECES, MAX_CHARS, AROUND = 16, 80, 80
 
 _TRIGGER = re.compile(r"[0-9@]|\b[dD][oO][tT]\b|[\[(] ?[aA][tT] ?[\])]")
 _PIECE = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.DOTALL)

@@ -133,6 +133,10 @@ def decode(span: str, model: np.ndarray) -> str:
     # reading after i characters: last two classes -> (cost, letters so far as a linked list)
     layers: list[dict[tuple[int, int], tuple[float, tuple | None]]] = [{} for _ in range(n + 1)]
     layers[0][0, 0] = (0.0, None)
+    runs = [1] * n  # equal characters from here on
+    for i in range(n - 2, -1, -1):
+        if chars[i] == chars[i + 1]:
+            runs[i] = runs[i + 1] + 1
 
     def reach(layer: dict, state: tuple[int, int], cost: float, path) -> None:
         if state not in layer or cost < layer[state][0]:
@@ -144,9 +148,7 @@ def decode(span: str, model: np.ndarray) -> str:
         options = [(x, STAND_IN) for x in STANDS_FOR.get(c, "")]
         if c in _CLASS:
             options.append((c, 0.0))
-        run = 1
-        while run < n - i and chars[i + run] == c:
-            run += 1
+        run = runs[i]
         shrinks = run > 2 or i > 1 and chars[i - 1] == c == chars[i - 2]  # three or more of a kind: one or two are meant
         for (a, b), (cost, path) in here.items():
             if apart and c in SEPARATORS:
