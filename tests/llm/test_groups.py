@@ -53,8 +53,11 @@ def bag(text):
 
 
 def alike(a, b):
+    sizes = sorted((sum(a.values()), sum(b.values())))
+    if sizes[0] < 0.8 * sizes[1]:
+        return 0.0  # cannot overlap by that much
     shared = sum((a & b).values())
-    total = sum(a.values()) + sum(b.values()) - shared
+    total = sum(sizes) - shared
     return shared / total if total else 1.0
 
 

@@ -1,13 +1,14 @@
 """The stages of the pipeline, each against what its operator stands for."""
 
 import pytest
-from conftest import SF
 
 import corpus_pipeline
 from lossgrid.llm.common import read
 from test_groups import classes_slowly  # same folder
 from test_texts import leaks_slowly
 
+SF = "/root/testdata/sf0.01"
+
 
 @pytest.fixture(scope="module")
 def kept(spark, tmp_path_factory):
