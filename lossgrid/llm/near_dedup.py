@@ -5,8 +5,8 @@ the powers of two: the piece from ``2**j`` to ``2**(j+1)`` is one process whose
 a count of w costs about log w processes and equal counts share all points below.  The earliest point of each slot is
 the signature; slots agree with the probability of the weighted Jaccard similarity.
 
-Texts that agree in a band share a bucket.  Within a bucket, members are compared with one pivot at a time and leave
-once all are of one class, so a group of near copies costs a few comparisons per member; members that stay of different
+Texts that agree in a band share a bucket.  Within a bucket, members are compared with one pivot at a time, its
+smallest document, so a group of near copies costs a few comparisons per member; members that are still of different
 classes are compared with each other when few pairs are left.  Similarities are taken from the whole texts.
 """
 
@@ -34,12 +34,13 @@ SLOTS = BANDS * ROWS
 #: Four bits of every slot, 16 slots to a long: what pairs are tried on before their texts are fetched.
 SKETCH = -(-SLOTS // 16)
 
-#: Slots in which sketches may differ: six deviations above the mean of a pair at the threshold.
+#: Slots in which sketches may differ: five deviations above the mean of a pair at the threshold (3e-7 lie beyond).
 _APART = (1 - SIMILARITY) * 15 / 16
-FAR = int(SLOTS * _APART + 6 * math.sqrt(SLOTS * _APART * (1 - _APART)))
+FAR = int(SLOTS * _APART + 5 * math.sqrt(SLOTS * _APART * (1 - _APART)))
 
-#: Sketches of different classes are compared directly once there are at most so many such pairs per bucket member.
-PAIRS_PER_MEMBER = 50
+#: After the first pivots, sketches of different classes are compared directly once there are at most so many such
+#: pairs per bucket member (a few nanoseconds each).
+PAIRS_PER_MEMBER = 1_000
 
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -226,16 +227,16 @@ def _printed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    bag = lru_cache(maxsize=64)(lambda text: weighted(words_of(text)))
+    bag = lru_cache(maxsize=128)(lambda text: weighted(words_of(text)))
     for a, b in batches:
         yield pd.Series([overlap(bag(x), bag(y)) for x, y in zip(a, b)], dtype=float)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, turns: int | None = None) -> DataFrame:
     """``node``, ``label``: every node of the edges (``a``, ``b``) with the smallest node it is connected to.
 
     Each turn hands every node the smallest label of its neighbours and then follows labels to their own, so that long
-    chains shrink by halves.
+    chains shrink by halves.  With ``turns`` it stops early: equal labels are connected, different ones may be.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
@@ -251,9 +252,12 @@ def components(edges: DataFrame) -> DataFrame:
         jump = nearer.select(F.col("node").alias("to"), F.col("to").alias("on"))
         after = nearer.join(jump, "to").select("node", "label", F.least("to", "on").alias("next"))
         after = written(after, "labels")
-        changed = after.where(F.col("next") < F.col("label")).limit(1).count()
         labels = after.select("node", F.col("next").alias("label"))
-        if not changed:
+        if turns is not None:
+            turns -= 1
+            if turns == 0:
+                return labels
+        elif not after.where(F.col("next") < F.col("label")).limit(1).count():
             return labels
 
 
@@ -300,18 +304,16 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
     turn = 0
     while True:
         turn += 1
-        chance = F.xxhash64(F.lit(turn), "node")
-        of_class = members.groupBy("bucket", "label").agg(
-            F.count("*").alias("n"), F.min_by(F.struct("node", "label", "sketch"), chance).alias("pivot")
-        )
         sizes = (
-            of_class.groupBy("bucket")
+            members.groupBy("bucket", "label")
+            .agg(F.count("*").alias("n"), F.min(F.struct("node", "label", "sketch")).alias("pivot"))
+            .groupBy("bucket")
             .agg(
                 F.count("*").alias("classes"),
                 # pairs of different classes, counted for both members
                 (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"),
                 F.sum("n").alias("n"),
-                F.min_by("pivot", F.xxhash64(F.lit(turn), "pivot.node")).alias("pivot"),
+                F.min("pivot").alias("pivot"),
             )
             .where(F.col("classes") > 1)
         )
@@ -319,7 +321,7 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
         n, pairs = sizes.agg(F.sum("n"), F.sum(F.col("pairs") / 2)).first()
         if not n:
             return links
-        last = pairs <= PAIRS_PER_MEMBER * n
+        last = turn > 1 and pairs <= PAIRS_PER_MEMBER * n
         if last:
             one = members.join(sizes.select("bucket"), "bucket").select("bucket", "node", "label", "sketch")
             two = one.toDF("other", "node_2", "label_2", "sketch_2")
@@ -335,7 +337,7 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
             return links
         # a pivot has met all members of its bucket
         members = open_.where(F.col("node") != F.col("pivot.node")).select("bucket", "node", "sketch")
-        members = members.join(components(links), "node", "left")
+        members = members.join(components(links, turns=1), "node", "left")
         members = members.select("bucket", "node", "sketch", F.coalesce("label", "node").alias("label"))
         members = written(members, "members")
 
