@@ -33,6 +33,16 @@ def _(t):
     return T.flat(T.success_rate(_events(t), ["agent"]))
 
 
+@query(
+    "success_rate_total",
+    """SELECT w5 AS window_start, count(*) AS completions, 100.0E0*count(*) FILTER (status='success')/count(*) AS success_rate
+       FROM {timed} GROUP BY w5""",
+    ratio="success_rate",
+)
+def _(t):
+    return T.flat(T.success_rate(_events(t), []))
+
+
 @query("success_rate_by_task", _rate_sql("wh", "task_id"), ratio="success_rate")
 def _(t):
     return T.flat(T.success_rate(_events(t), ["task_id"], "1 hour"))
@@ -105,16 +115,22 @@ def _(t):
     return T.flat(T.throughput(_events(t), "1 minute", None, 60.0))
 
 
-@query(
-    "trend_slope",
-    """SELECT window_start, CASE WHEN count(*)>=2 THEN 3600.0E0*regr_slope(duration_seconds, x) END AS trend, count(*) AS n FROM (
-         SELECT duration_seconds, window_start, epoch_us(ts - window_start)/1e6 AS x FROM (
-           SELECT duration_seconds, ts, time_bucket(INTERVAL '30 minutes', ts) - CAST(k AS INT)*INTERVAL '30 minutes' AS window_start FROM {timed}, (VALUES (0),(1)) o(k)) a) b
-       GROUP BY window_start""".replace("epoch_us(ts - window_start)/1e6", "(epoch_us(ts) - epoch_us(window_start))/1e6"),
-    ratio="trend",
-)
-def _(t):
-    return T.flat(T.trend_slope(_events(t), "1 hour", "30 minutes", 3600.0))
+def _trend_sql(minutes: int) -> str:
+    """Windows of ``minutes`` that begin every half window."""
+    slide = f"INTERVAL '{minutes // 2} minutes'"
+    return f"""SELECT window_start, CASE WHEN count(*)>=2 THEN {minutes * 60}.0E0*regr_slope(duration_seconds, x) END AS trend, count(*) AS n FROM (
+         SELECT duration_seconds, window_start, (epoch_us(ts) - epoch_us(window_start))/1e6 AS x FROM (
+           SELECT duration_seconds, ts, time_bucket({slide}, ts) - CAST(k AS INT)*{slide} AS window_start FROM {{timed}}, (VALUES (0),(1)) o(k)) a) b
+       GROUP BY window_start"""
+
+
+def _trend(minutes: int):
+    return lambda t: T.flat(T.trend_slope(_events(t), f"{minutes} minutes", f"{minutes // 2} minutes", minutes * 60.0))
+
+
+query("trend_slope", _trend_sql(60), ratio="trend")(_trend(60))
+query("trend_slope_30m", _trend_sql(30), money="trend")(_trend(30))
+query("trend_slope_10m", _trend_sql(10), money="trend")(_trend(10))
 
 
 @query(
@@ -247,16 +263,22 @@ def _(t):
     return T.telemetry_summary(_events(t))
 
 
-@query(
-    "counter_increase_1h",
-    """SELECT agent, wh AS window_start, CAST(coalesce(sum(CASE WHEN v<p THEN v ELSE v-p END), 0) AS BIGINT) AS increase, count(*) AS samples
-       FROM (SELECT agent, wh, CAST(records_processed AS BIGINT) AS v, lag(CAST(records_processed AS BIGINT)) OVER (PARTITION BY agent, wh ORDER BY ts, event_id) AS p FROM {timed}) q
-       GROUP BY agent, wh""",
-)
+def _increase_sql(w: str) -> str:
+    return f"""SELECT agent, {w} AS window_start, CAST(coalesce(sum(CASE WHEN v<p THEN v ELSE v-p END), 0) AS BIGINT) AS increase, count(*) AS samples
+       FROM (SELECT agent, {w}, CAST(records_processed AS BIGINT) AS v, lag(CAST(records_processed AS BIGINT)) OVER (PARTITION BY agent, {w} ORDER BY ts, event_id) AS p FROM {{timed}}) q
+       GROUP BY agent, {w}"""
+
+
+@query("counter_increase_1h", _increase_sql("wh"))
 def _(t):
     return T.counter_increase(_events(t))
 
 
+@query("counter_increase_5m", _increase_sql("w5"))
+def _(t):
+    return T.counter_increase(_events(t), "5 minutes")
+
+
 SQL_ONLY["sessions"] = """
 SELECT user_id, sn AS session_no, min(ts) AS session_start, max(ts) AS last_event, count(*) AS n
 FROM (SELECT *, CAST(sum(CASE WHEN p IS NULL OR ts - p >= INTERVAL '30 minutes' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS sn
