@@ -13,7 +13,6 @@ classes are compared with each other when few pairs are left.  Similarities are
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
