@@ -5,8 +5,9 @@ the powers of two: the piece from ``2**j`` to ``2**(j+1)`` is one process whose
 a count of w costs about log w processes and equal counts share all points below.  The earliest point of each slot is
 the signature; slots agree with the probability of the weighted Jaccard similarity.
 
-Texts that agree in a band share a bucket.  Within a bucket, members are compared with one pivot at a time, its
-smallest document, so a group of near copies costs a few comparisons per member; members that are still of different
+Texts that agree in a band share a bucket.  Within a bucket, members are compared with one pivot at a time, the
+one that shares most buckets and so stands in the middle of its group: a group of near copies costs a few comparisons
+per member; members that are still of different
 classes are compared with each other when few pairs are left.  Similarities are taken from the whole texts.
 """
 
@@ -279,8 +280,10 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     slots = reps.select("rep", F.explode("bands").alias("bucket"))
     full = slots.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     full = full.where(F.col("low") < F.col("high")).select("bucket")
-    found = slots.join(full, "bucket").distinct().join(reps.select("rep", "sketch"), "rep")
-    members = written(found.select("bucket", F.col("rep").alias("node"), "sketch"), "members")
+    shared = written(slots.join(full, "bucket").distinct(), "shared")
+    weight = shared.groupBy("rep").agg(F.count("*").alias("weight"))
+    found = shared.join(reps.select("rep", "sketch"), "rep").join(weight, "rep")
+    members = written(found.select("bucket", F.col("rep").alias("node"), "weight", "sketch"), "members")
     wanted = members.select("node").distinct()
     texts = written(rows.join(wanted, "node").dropDuplicates(["node"]), "texts")
 
@@ -305,14 +308,14 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
         turn += 1
         sizes = (
             members.groupBy("bucket", "label")
-            .agg(F.count("*").alias("n"), F.min(F.struct("node", "label", "sketch")).alias("pivot"))
+            .agg(F.count("*").alias("n"), F.max(F.struct("weight", (-F.col("node")).alias("first"), "node", "label", "sketch")).alias("pivot"))
             .groupBy("bucket")
             .agg(
                 F.count("*").alias("classes"),
                 # pairs of different classes, counted for both members
                 (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"),
                 F.sum("n").alias("n"),
-                F.min("pivot").alias("pivot"),
+                F.max("pivot").alias("pivot"),
             )
             .where(F.col("classes") > 1)
         )
@@ -335,9 +338,9 @@ def _linked(members: DataFrame, texts: DataFrame) -> DataFrame:
         if last:
             return links
         # a pivot has met all members of its bucket
-        members = open_.where(F.col("node") != F.col("pivot.node")).select("bucket", "node", "sketch")
+        members = open_.where(F.col("node") != F.col("pivot.node")).select("bucket", "node", "weight", "sketch")
         members = members.join(components(links, turns=1), "node", "left")
-        members = members.select("bucket", "node", "sketch", F.coalesce("label", "node").alias("label"))
+        members = members.select("bucket", "node", "weight", "sketch", F.coalesce("label", "node").alias("label"))
         members = written(members, "members")
 
 
