@@ -12,6 +12,7 @@ import time
 from pyspark.sql import SparkSession
 
 from lossgrid.plans.registry import load_all
+from lossgrid.session import ship_package
 
 HEADLINE = (
     "process_portfolio", "stage_hybrid", "stage_metrics", "summary_report", "stage_distribution_view", "regional_risk",
@@ -21,7 +22,8 @@ HEADLINE = (
     "split_stratified", "calc_compliance_checks", "schema_checks_loan", "business_rules_loan", "column_profile",
     "iqr_outliers", "features_basic", "features_interactions", "stress_pd", "feature_contributions",
     "explain_stage_text", "eval_auc_ovr", "success_rate_5m", "duration_p95_p99", "throughput", "sessions_by_gap",
-    "stream_tumbling", "sink_partitioned_clustered",
+    "stream_tumbling", "sink_partitioned_clustered", "quality_gates", "explain_outlier_text", "weighted_readiness",
+    "isolation_outliers",
 )
 
 
@@ -39,6 +41,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     queries = load_all()
 
     def run(key: str) -> float:
