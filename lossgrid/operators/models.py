@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -99,6 +99,29 @@ def train_pd(table: DataFrame, features: Sequence[str] = FEATURES, rounds: int =
     return Fit(model, metrics, _importance(model, features))
 
 
+def train_boosted(table: DataFrame, features: Sequence[str] = FEATURES, rounds: int = 100, depth: int = 5, leaf: int = 10) -> dict[str, float]:
+    """Boosted trees, one model per stage against the others; accuracy and weighted one-vs-rest AUC on the rest."""
+    assembler = _assembler(features)
+    train = assembler.transform(table.where("is_train")).persist()
+    scored = assembler.transform(table.where("not is_train"))
+    try:
+        for k in range(3):
+            boosted = GBTClassifier(
+                labelCol="is_stage", maxIter=rounds, maxDepth=depth, stepSize=0.1, minInstancesPerNode=leaf, seed=42,
+                predictionCol="_p",
+            ).setRawPredictionCol("_r").setProbabilityCol("_q")
+            model = boosted.fit(train.withColumn("is_stage", (F.col("label") == k).cast("double")))
+            scored = model.transform(scored).withColumn(f"prob_stage_{k + 1}", vector_to_array("_q")[1]).drop("_p", "_r", "_q")
+    finally:
+        train.unpersist()
+    probs = {f"STAGE_{i}": F.col(f"prob_stage_{i}") for i in (1, 2, 3)}
+    predicted = stage_label(F.array_position(F.array(*probs.values()), F.greatest(*probs.values())).cast("int"))
+    return {
+        "accuracy": scored.agg(F.avg((predicted == F.col("stage")).cast("double"))).first()[0],
+        "roc_auc": weighted_auc(auc_one_vs_rest(scored, "stage", probs)).first()[0],
+    }
+
+
 def with_stage_scores(transformed: DataFrame) -> DataFrame:
     p = vector_to_array("probability")
     return transformed.withColumns(
