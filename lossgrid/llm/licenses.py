@@ -43,12 +43,17 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved. Confidential and proprietary. Unauthorized copying is strictly prohibited."),
+    ("Proprietary", "All rights reserved."),
 )
 
+#: The bare reservation stands beside real licences too, so it counts only where a file declares no other.
+RESERVED = len(TEMPLATES) - 1
+
 #: Least cosine of a line to a template; least share of a file's words in licence lines to make it a licence file.
 COSINE, FILE_SHARE = 0.75, 0.6
 
 _TERM = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
+_PART = re.compile(r"[.,;](?:\s+|$)")
 
 Vector = dict[str, float]
 
@@ -84,6 +89,10 @@ class Templates:
 
     def best(self, found: list[str]) -> tuple[float, str]:
         """Highest cosine to a template and its licence; of equal ones the first template."""
+        cosine, k = self.nearest(found)
+        return cosine, self.vectors[k][0] if cosine else ""
+
+    def nearest(self, found: list[str]) -> tuple[float, int]:
         counts = Counter(found)
         norm, dots = 0.0, [0.0] * len(self.vectors)
         for t, n in counts.items():
@@ -92,21 +101,22 @@ class Templates:
             for k in self.of_term.get(t, ()):
                 dots[k] += weight * self.vectors[k][1][t]
         if not norm:
-            return 0.0, ""
+            return 0.0, 0
         k = max(range(len(dots)), key=lambda i: (dots[i], -i))
-        return dots[k] / math.sqrt(norm), self.vectors[k][0]
+        return dots[k] / math.sqrt(norm), k
 
     def scan(self, text: str) -> tuple[str, float, float]:
         """Licence, its cosine and the share of the text's words in lines with a licence ("" and zeros if none).
 
         A licence begins in a line with one of ``HINTS``.  Such a line is taken alone and, as long templates wrap, in
-        runs with the lines after it, up to twice the longest template.
+        runs with the lines after it, up to twice the longest template.  "All rights reserved" is also found as a part of
+        a line, beside the holder's name.
         """
         if not _may_declare(text):
             return "", 0.0, 0.0
         lines = [(x, t) for x in text.split("\n") if (t := terms(x))]
         longest = max(n for *_, n in self.vectors)
-        best, covered = (0.0, ""), [False] * len(lines)
+        best, covered = (False, 0.0, ""), [False] * len(lines)
         for i, (line, _) in enumerate(lines):
             if not _may_declare(line):
                 continue
@@ -115,15 +125,21 @@ class Templates:
                 run = run + lines[j][1]
                 if j > i and len(run) > 2 * longest:
                     break
-                found = self.best(run)
-                if found[0] >= COSINE:
+                cosine, k = self.nearest(run)
+                if cosine >= COSINE:
                     covered[i : j + 1] = [True] * (j + 1 - i)
-                if found[0] > best[0]:
-                    best = found
-        if best[0] < COSINE:
+                    best = max(best, (k != RESERVED, cosine, self.vectors[k][0]), key=lambda x: x[:2])
+            if "rights reserved" in line.lower():
+                for part in _PART.split(line):
+                    cosine, k = self.nearest(terms(part))
+                    if k == RESERVED and cosine >= COSINE:
+                        covered[i] = True
+                        best = max(best, (False, cosine, self.vectors[k][0]), key=lambda x: x[:2])
+        _, cosine, name = best
+        if not name:
             return "", 0.0, 0.0
         words = sum(len(t) for _, t in lines)
-        return best[1], best[0], sum(len(t) for (_, t), c in zip(lines, covered) if c) / words
+        return name, cosine, sum(len(t) for (_, t), c in zip(lines, covered) if c) / words
 
 
 #: One of these is in the first line of every licence (fixed values).

@@ -190,3 +190,30 @@ def test_wrapped_license_is_one_run():
     wrapped = "\n".join(" ".join(words[k : k + 6]) for k in range(0, len(words), 6))
     name, cosine, share = licenses.Templates(10, {}).scan("Intro line\n\n" + wrapped)
     assert name == "MIT" and cosine > 0.9 and share > 0.9
+
+
+@pytest.mark.parametrize(
+    "line, name",
+    [
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("All rights reserved.", "Proprietary"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("Released under the MIT License.", "MIT"),
+        ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Copyright (c) 2024 Some Holder Ltd. All rights reserved.", "Proprietary"),
+        ("Copyright 2009 The Authors. All rights reserved.\n" + "Use of this source code is governed by a BSD-style license that can be "
+         "found in the LICENSE file.", "BSD-3-Clause"),
+        ("We talked about whether all human rights are reserved for citizens.", ""),
+    ],
+)
+def test_every_kind_of_notice_line(line, name):
+    common = {t: 500 for t in ("all", "the", "this", "is", "work", "for", "and", "to", "of")}
+    assert licenses.Templates(1000, common).scan(PROSE + line + "\n" + PROSE)[0] == name
+
+
+def test_reserved_files_inherit_nothing(spark):
+    rows = [("LICENSE", MIT), ("a.txt", PROSE), ("b.txt", PROSE + "All rights reserved.\n" + PROSE)]
+    out = licenses.scan_licenses(ship_package(spark).createDataFrame(rows, "path string, text string")).collect()
+    assert {r["path"]: (r["license"], r["origin"]) for r in out} == {
+        "LICENSE": ("MIT", "own"), "a.txt": ("MIT", "inherited"), "b.txt": ("Proprietary", "own"),
+    }
