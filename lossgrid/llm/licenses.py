@@ -1,6 +1,7 @@
 """Licence scan: TF-IDF cosine of a file's lines to licence templates, and inheritance from ancestor directories.
 
-Every line of a file (and every run of lines that a template spans) is compared with short templates.  A file whose
+Every line of a file (and every run of lines that a template spans) is compared with short templates, and the words from
+the first line of a licence on with the licences' whole texts (``license_texts``).  A file whose
 text is hardly more than a licence is the licence file of its directory; files without a licence of their own take the
 one of the nearest directory above that has such a file, found by joining on each ancestor path.
 """
@@ -11,7 +12,10 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from importlib.resources import files as packaged
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,9 +67,19 @@ def terms(text: str) -> list[str]:
     return _TERM.findall(text.lower())
 
 
+@cache
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """Whole licences by name; read where the templates are built, on the driver."""
+    found = packaged("lossgrid.llm").joinpath("license_texts")
+    texts = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in found.iterdir() if f.name.endswith(".txt")}
+    # the Affero licence is the GPL's text but for the name, half of the preamble and section 13
+    texts["AGPL-3.0"] = re.sub(r"(?i)\bGNU (?=General)", "GNU Affero ", texts["GPL-3.0"])
+    return tuple(sorted(texts.items()))
+
+
 def vocabulary() -> list[str]:
     """Terms of the templates: a fixed number, whatever the corpus."""
-    return sorted({t for _, text in TEMPLATES for t in terms(text)})
+    return sorted({t for _, text in (*TEMPLATES, *whole_texts()) for t in terms(text)})
 
 
 class Templates:
@@ -86,6 +100,55 @@ class Templates:
         for k, (_, vector, _) in enumerate(self.vectors):
             for t in vector:
                 self.of_term.setdefault(t, []).append(k)
+        self.number = {t: k for k, t in enumerate(self.weight)}
+        self.weights = np.array([*self.weight.values(), self.top])  # the last one is for all other terms
+        self.whole = []
+        for name, text in whole_texts():
+            found = [self.number[t] for t in terms(text)]
+            vector = np.bincount(found, minlength=len(self.weights)) * self.weights
+            self.whole.append((name, vector / math.sqrt(vector @ vector), len(found)))
+
+    def whole_licenses(self, lines: list[tuple[str, list[str]]]) -> list[tuple[float, str, int, int]]:
+        """Cosine, name, first and last word (exclusive) of the whole licences in a text, none within another.
+
+        From every line with a hint on, as many words as a licence has are compared with it.  ``most`` is never below the
+        cosine (squares of counts are at least the counts), so only windows that can be a licence are counted out.
+        """
+        words = [t for _, ts in lines for t in ts]
+        starts = np.cumsum([0, *(len(ts) for _, ts in lines)])
+        starts = np.array([at for at, (line, _) in zip(starts, lines) if _may_declare(line)], dtype=np.int64)
+        known, other = np.array([self.number.get(t, -1) for t in words]), len(self.number)
+        known[known < 0] = other
+        sums = np.concatenate([[0.0], np.cumsum(self.weights[known] ** 2)])
+        found: list[tuple[float, str, int, int]] = []
+        ends, likely = {}, {}
+        for name, vector, n in self.whole:
+            ends[name] = np.minimum(starts + n, len(words))
+            dots = np.concatenate([[0.0], np.cumsum((self.weights * vector)[known])])
+            most = (dots[ends[name]] - dots[starts]) / np.sqrt(np.maximum(sums[ends[name]] - sums[starts], 1e-9))
+            likely[name] = most >= COSINE
+        done = 0
+        for k, start in enumerate(starts):
+            if start < done:
+                continue
+            best = (0.0, "", 0, 0)
+            for name, vector, _ in self.whole:
+                if likely[name][k]:
+                    end = int(ends[name][k])
+                    best = max(best, (self._cosine(words[start:end], vector), name, int(start), end), key=lambda x: x[0])
+            if best[0] >= COSINE:
+                found.append(best)
+                done = best[3]
+        return found
+
+    def _cosine(self, words: list[str], vector: np.ndarray) -> float:
+        norm = dot = 0.0
+        for t, n in Counter(words).items():
+            weight = n * self.weight.get(t, self.top)
+            norm += weight * weight
+            if t in self.number:
+                dot += weight * vector[self.number[t]]
+        return float(dot / math.sqrt(norm))
 
     def best(self, found: list[str]) -> tuple[float, str]:
         """Highest cosine to a template and its licence; of equal ones the first template."""
@@ -109,7 +172,7 @@ class Templates:
         """Licence, its cosine and the share of the text's words in lines with a licence ("" and zeros if none).
 
         A licence begins in a line with one of ``HINTS``.  Such a line is taken alone and, as long templates wrap, in
-        runs with the lines after it, up to twice the longest template.  "All rights reserved" is also found as a part of
+        runs with the lines after it, up to twice the longest template; lines of a whole licence are not taken again.  "All rights reserved" is also found as a part of
         a line, beside the holder's name.
         """
         if not _may_declare(text):
@@ -117,8 +180,16 @@ class Templates:
         lines = [(x, t) for x in text.split("\n") if (t := terms(x))]
         longest = max(n for *_, n in self.vectors)
         best, covered = (False, 0.0, ""), [False] * len(lines)
+        words = sum(len(t) for _, t in lines)
+        whole, at, inside = np.zeros(words, dtype=bool), 0, []
+        for cosine, name, start, end in self.whole_licenses(lines):
+            whole[start:end] = True
+            best = max(best, (True, cosine, name), key=lambda x: x[:2])
+        for _, t in lines:
+            inside.append(bool(whole[at : at + len(t)].all()))
+            at += len(t)
         for i, (line, _) in enumerate(lines):
-            if not _may_declare(line):
+            if inside[i] or not _may_declare(line):
                 continue
             run: list[str] = []
             for j in range(i, len(lines)):
@@ -138,8 +209,8 @@ class Templates:
         _, cosine, name = best
         if not name:
             return "", 0.0, 0.0
-        words = sum(len(t) for _, t in lines)
-        return name, cosine, sum(len(t) for (_, t), c in zip(lines, covered) if c) / words
+        whole |= np.repeat(covered, [len(t) for _, t in lines])
+        return name, cosine, float(whole.sum() / words)
 
 
 #: One of these is in the first line of every licence (fixed values).

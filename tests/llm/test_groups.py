@@ -217,3 +217,24 @@ def test_reserved_files_inherit_nothing(spark):
     assert {r["path"]: (r["license"], r["origin"]) for r in out} == {
         "LICENSE": ("MIT", "own"), "a.txt": ("MIT", "inherited"), "b.txt": ("Proprietary", "own"),
     }
+
+
+@pytest.mark.parametrize("name, text", licenses.whole_texts())
+def test_whole_license_files(name, text):
+    """Whole texts as they stand, with a holder in them, behind comment signs and on one line."""
+    model = licenses.Templates(1000, {t: 500 for t in ("the", "of", "to", "and", "in", "a", "or", "this", "for", "is")})
+    named = "Copyright (c) 2024 Some Holder Ltd.\n\n" + text
+    for form in (text, named, "\n".join("# " + x for x in text.split("\n")), " ".join(text.split())):
+        got, cosine, share = model.scan(form)
+        assert got == name and cosine > 0.9 and share > 0.9
+    got, _, share = model.scan(text + "\n" + PROSE * 2000)
+    assert got == name and share < licenses.FILE_SHARE
+
+
+def test_whole_license_file_holds_for_its_directory(spark):
+    whole = dict(licenses.whole_texts())
+    rows = [("LICENSE", whole["Apache-2.0"]), ("m/LICENSE", whole["MIT"]), ("m/a.txt", PROSE), ("b.txt", PROSE)]
+    out = licenses.scan_licenses(ship_package(spark).createDataFrame(rows, "path string, text string")).collect()
+    assert {r["path"]: (r["license"], r["origin"]) for r in out} == {
+        "LICENSE": ("Apache-2.0", "own"), "m/LICENSE": ("MIT", "own"), "m/a.txt": ("MIT", "inherited"), "b.txt": ("Apache-2.0", "inherited"),
+    }
