@@ -304,7 +304,7 @@ def fit_field(texts: list[str], epochs: int = 4, pace: float = 0.5, shrink: floa
     return field
 
 
-#: Regions the field is fitted on at most, in the order of a hash of their text.
+#: Different regions the field is fitted on at most, in the order of a hash of their text.
 SAMPLE_REGIONS = 1_500
 
 
@@ -327,6 +327,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample_regions: int = SAMPLE_RE
         docs.select(text_of(text_col).alias("text"))
         .where(F.col("text").rlike(r"[0-9@]"))
         .mapInPandas(cut, "region string")
+        .distinct()
         .orderBy(F.xxhash64("region"), "region")
         .limit(sample_regions)
     )

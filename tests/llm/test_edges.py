@@ -102,3 +102,12 @@ def test_digest_queries_on_null_texts(spark):
     assert len({r["base_sha256"] for r in found}) == 1
     lines = line_dedup.drop_repeated_lines(frame).select("n_lines", "n_dropped", F.col("text")).collect()
     assert {tuple(r) for r in lines} == {(1, 0, "")}
+
+
+def test_field_is_fitted_on_different_regions(spark):
+    from lossgrid.session import ship_package
+
+    texts = [f"Call me at +1 555 010 99{k}9 today or write to user{k}@example.org soon." for k in range(8)]
+    one, many = (ship_package(spark).createDataFrame([(t,) for t in some], "text string") for some in (texts, texts * 20))
+    want = pii.fit(one, sample_regions=5).weights
+    assert want and pii.fit(many, sample_regions=5).weights == want
