@@ -80,10 +80,10 @@ class Block:
         self.limits = limits
         self.ids = [i for i, _ in items]
         self.codes = [_codes(plain(t)) for _, t in items]
-        #: items too short for a q-gram match texts that are equal to them
+        #: items too short for a q-gram leak where they stand in a text as they are
         self.short: dict[str, list[int]] = {}
         for i, t in items:
-            if len(plain(t)) < limits.q:
+            if 0 < len(plain(t)) < limits.q:
                 self.short.setdefault(plain(t), []).append(i)
         grams = [_grams(c, limits.q) for c in self.codes]
         flat = np.concatenate([*grams, np.zeros(0, dtype=np.uint64)])
@@ -100,7 +100,7 @@ class Block:
     def leaks(self, texts: list[str]) -> list[list[int]]:
         """Ids of the items that each of the texts leaks, in order."""
         texts = [plain(t) for t in texts]
-        found: list[set[int]] = [set(self.short.get(t, ())) for t in texts]
+        found: list[set[int]] = [{i for s, ids in self.short.items() if s in t for i in ids} for t in texts]
         codes = _codes("\0".join(texts))
         grams = _grams(codes, self.limits.q)
         hits = np.nonzero(self.slots[_slot(grams)])[0]
