@@ -172,7 +172,7 @@ def shared_lines(own: list[int], free: list[bool], other: list[int]) -> list[int
     """Keys of the free lines that the alignment shares with the other page; none if the pages are copies."""
     pairs = common_lines(own, other)
     shared = {own[i] for i, _ in pairs if free[i]}
-    if len(pairs) == len(own) and shared:
+    if len(pairs) == len(own) == len(other) and shared:
         return []
     return sorted(shared)
 

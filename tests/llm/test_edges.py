@@ -109,6 +109,12 @@ def test_short_items_are_found_inside_texts():
     assert block.leaks(["", "it holds a tiny\titem here", "tiny item", "tiny thing"]) == [[], [1], [1], []]
 
 
+def test_empty_page_beside_a_full_one_loses_its_menu():
+    free = [True, True]
+    assert pages.shared_lines([1, 2], free, [1, 2, 3]) == [1, 2]
+    assert pages.shared_lines([1, 2], free, [1, 2]) == []
+
+
 def test_field_is_fitted_on_different_regions(spark):
     from lossgrid.session import ship_package
 
