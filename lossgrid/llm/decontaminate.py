@@ -80,7 +80,7 @@ class Block:
         self.limits = limits
         self.ids = [i for i, _ in items]
         self.codes = [_codes(plain(t)) for _, t in items]
-        #: items too short for a q-gram leak where they stand in a text as they are
+        #: items too short for a q-gram match texts that are equal to them; blank ones match none
         self.short: dict[str, list[int]] = {}
         for i, t in items:
             if 0 < len(plain(t)) < limits.q:
@@ -100,7 +100,7 @@ class Block:
     def leaks(self, texts: list[str]) -> list[list[int]]:
         """Ids of the items that each of the texts leaks, in order."""
         texts = [plain(t) for t in texts]
-        found: list[set[int]] = [{i for s, ids in self.short.items() if s in t for i in ids} for t in texts]
+        found: list[set[int]] = [set(self.short.get(t, ())) for t in texts]
         codes = _codes("\0".join(texts))
         grams = _grams(codes, self.limits.q)
         hits = np.nonzero(self.slots[_slot(grams)])[0]
@@ -191,7 +191,7 @@ def find_leaks(
 ) -> DataFrame:
     """``docs`` with ``out_col``, the sorted ids of the items each text leaks (replaced if there is such a column).
 
-    Null and empty texts leak nothing, nor does any text if there are no items.  Rows are independent, so repeated rows
+    An item shorter than ``limits.q`` is leaked by equal texts alone.  Null and empty texts leak nothing, nor does any text if there are no items.  Rows are independent, so repeated rows
     get the same items; all other columns pass through.
     """
     (work,) = free_names(docs, "_leaks")
