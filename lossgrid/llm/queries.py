@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe, chat, decontaminate, licenses, line_dedup, near_dedup, pages, pii, quality, toxicity
+from lossgrid.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    pages,
+    pii,
+    quality,
+    resample,
+    search,
+    toxicity,
+)
 from lossgrid.llm.common import read
 
 
@@ -74,6 +88,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    packed = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    drawn = resample.resample(docs, target, max_words=1)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_format,
         op9_quality_rules,
         op10_toxicity,
+        op11_ranked_search,
+        op12_best_fit_packing,
+        op13_resample,
         pipeline,
     )
 }
@@ -100,4 +136,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": line_dedup.SQL,
     "op8_chat_format": chat.SQL,
     "op9_quality_rules": quality.SQL,
+    "op11_ranked_search": search.SQL,
 }

@@ -17,4 +17,4 @@ def test_matches_sql(spark, con, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(n[2:].split("_")[0]) for n in Q.QUERIES if n != "pipeline"]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
