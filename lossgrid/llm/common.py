@@ -56,4 +56,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """A copy written to the shared scratch folder, for tables that several jobs read."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    copy = df.sparkSession.read.parquet(path)
+    copy.scratch_path = path
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more: whatever was made of them is itself written."""
+    for copy in copies:
+        spark = copy.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(copy.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -238,3 +238,57 @@ def test_whole_license_file_holds_for_its_directory(spark):
     assert {r["path"]: (r["license"], r["origin"]) for r in out} == {
         "LICENSE": ("Apache-2.0", "own"), "m/LICENSE": ("MIT", "own"), "m/a.txt": ("MIT", "inherited"), "b.txt": ("Apache-2.0", "inherited"),
     }
+
+
+def test_differences_give_similarity():
+    rng = np.random.default_rng(3)
+    bag_of = lambda: near_dedup.weighted([f"w{k}" for k in rng.zipf(1.4, 300) % 40])
+    for _ in range(30):
+        ref, a, b = bag_of(), bag_of(), bag_of()
+        da, db = (near_dedup.differences(ref, x) for x in (a, b))
+        assert len(set(da.tolist())) == len(da)
+        shared = len(np.intersect1d(da, db))
+        weight = int(a[1].sum() + b[1].sum())
+        apart = len(da) + len(db) - 2 * shared
+        assert near_dedup.overlap(a, b) == pytest.approx((weight - apart) / (weight + apart))
+
+
+def test_half_alike_group_against_all_pairs(spark, monkeypatch):
+    """One large group around a text that is (or is not) there, most pairs between 0.6 and 0.8, with sub-groups."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+
+    def edited(words, n):
+        words = list(words)
+        for k in rng.sample(range(len(words)), n):
+            words[k] = word()
+        return words
+
+    docs = []
+    for there in (True, False):
+        base = [word() for _ in range(170)]
+        docs += [base] * there + [edited(base, rng.choice([2, 4, 5, 6, 7, 8])) for _ in range(200)]
+        near = [edited(base, 7) for _ in range(10)]
+        docs += near + [edited(x, rng.randint(0, 3)) for x in near for _ in range(6)]
+    docs = [(i, " ".join(d)) for i, d in enumerate(rng.sample(docs, len(docs)))]
+    seen = []
+    similar = near_dedup._similar
+    monkeypatch.setattr(near_dedup, "_similar", lambda pairs, whole: seen.append(pairs.count()) or similar(pairs, whole))
+    frame = ship_package(spark).createDataFrame(docs, "doc_id long, text string").repartition(6)
+    got = {r["node"]: r["class_id"] for r in near_dedup.duplicate_classes(frame).collect()}
+    want = classes_slowly(docs)
+    assert got == want
+    assert len(set(want.values())) > 200  # so there are tens of thousands of pairs that share buckets and no class
+    assert sum(seen[1:]) < 2 * len(docs)
+
+
+def test_ids_with_several_texts(spark):
+    rng = random.Random(2)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60))
+    one, two, three = text(), text(), text()
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two + " words"), (4, three), (4, three), (5, three + " x")]
+    frame = ship_package(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["node"]: r["class_id"] for r in near_dedup.duplicate_classes(frame).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    kept = sorted((r["doc_id"], r["text"]) for r in near_dedup.keep_one_of_each(frame).collect())
+    assert kept == sorted([(1, one), (1, two), (4, three)])
