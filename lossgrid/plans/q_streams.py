@@ -294,13 +294,18 @@ def _(t):
 # -- the same functions as streams -------------------------------------------
 
 
+#: How late an event may come before its window's state is dropped.
+LATENESS = "10 minutes"
+
+
 def _stream(t):
     return T.as_telemetry(S.event_stream(t.spark, t.sf_dir))
 
 
 @query("stream_tumbling", _rate_sql("w5", "agent"), ratio="success_rate")
 def _(t):
-    return T.flat(S.run_available(T.success_rate(_stream(t), ["agent"]), "tumbling", "complete"))
+    stream = _stream(t).withWatermark("event_time", LATENESS)
+    return T.flat(S.run_available(T.success_rate(stream, ["agent"]), "tumbling", "update", keys=["window", "agent"]))
 
 
 @query(
@@ -310,7 +315,9 @@ def _(t):
     ratio="records_per_second",
 )
 def _(t):
-    return T.flat(S.run_available(T.throughput(_stream(t), "1 hour", "30 minutes", 3600.0), "sliding", "complete"))
+    stream = _stream(t).withWatermark("event_time", LATENESS)
+    sliding = T.throughput(stream, "1 hour", "30 minutes", 3600.0)
+    return T.flat(S.run_available(sliding, "sliding", "update", keys=["window", "agent"]))
 
 
 @query(
@@ -339,6 +346,92 @@ def _(t):
     return T.flat(S.run_available(T.success_rate(stream, ["agent"]), "closed", "append"))
 
 
+SQL_ONLY["closed_sessions"] = """
+SELECT user_id, session_start, last_event + INTERVAL '30 minutes' AS session_end, n FROM {sessions}
+WHERE last_event + INTERVAL '30 minutes' <= (SELECT date_trunc('milliseconds', max(ts)) FROM {timed}) - INTERVAL '1 hour'
+"""
+
+
+@query("stream_closed_sessions", "SELECT user_id, session_start, session_end, n FROM {closed_sessions}")
+def _(t):
+    stream = _stream(t).withWatermark("event_time", "1 hour")
+    done = S.run_available(T.session_windows(stream), "closed-sessions", "append", S.LOCAL_SESSION_MERGE)
+    bounds = {f"session_{b}": F.col(f"window.{b}").cast("timestamp_ntz") for b in ("start", "end")}
+    return done.withColumns(bounds).select("user_id", "session_start", "session_end", "n")
+
+
+@query(
+    "stream_offset_change",
+    """WITH w AS (SELECT wh, sum(duration_seconds) AS total, count(*) AS n FROM {timed} GROUP BY wh)
+       SELECT a.wh AS window_start, a.total, a.n, b.total AS previous_total, b.n AS previous_n, 100.0E0*(a.n-b.n)/b.n AS n_change_pct
+       FROM w a JOIN w b ON a.wh = b.wh + INTERVAL '1 day'
+       WHERE a.wh + INTERVAL '1 hour' <= (SELECT date_trunc('milliseconds', max(ts)) FROM {timed}) - INTERVAL '10 minutes'""",
+    ratio="total previous_total n_change_pct",
+)
+def _(t):
+    return S.run_available(T.offset_change_stream(_stream(t), _stream(t), "1 hour", "1 day", LATENESS), "offset", "append")
+
+
+@query(
+    "stream_duration_quantiles",
+    "SELECT wh AS window_start, count(duration_seconds) AS n, true AS p95_in_rank, true AS p99_in_rank FROM {timed} GROUP BY wh",
+)
+def _(t):
+    stream = _stream(t).withWatermark("event_time", LATENESS)
+    sketches = S.run_available(T.duration_sketches(stream), "sketches", "update", keys=["window"])
+    return T.quantiles_in_rank(T.merged_quantiles(sketches, "1 hour"), _events(t), "1 hour")
+
+
+#: The events in so many arrivals by their time; copies come one arrival later, held back rows two.
+ARRIVALS, ARRIVAL_DELAY = 6, "2 days"
+
+SQL_ONLY["arrived"] = f"""
+WITH s AS (SELECT event_id, ts, least({ARRIVALS - 1}, CAST(floor({ARRIVALS} * (epoch_us(ts) - lo) / CAST(hi - lo AS DOUBLE)) AS INT)) AS k
+           FROM {{events}}, (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM {{events}}) z),
+a AS (SELECT event_id, ts, CASE WHEN event_id % 11 = 0 THEN least(k + 2, {ARRIVALS - 1}) ELSE k END AS arrival FROM s
+      UNION ALL SELECT event_id, ts, k + 1 FROM s WHERE event_id % 7 = 0 AND event_id % 11 <> 0 AND k < {ARRIVALS - 1}),
+m AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM a GROUP BY arrival)
+SELECT a.*, coalesce(ts <= date_trunc('milliseconds', newest) - INTERVAL '2 days', false) AS late FROM a JOIN m USING (arrival)
+"""
+
+
+def _arrivals(t):
+    """Every event in the order of its time, some again and some only later."""
+    ends = t.events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("lo"), F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("hi"))
+    lo, hi = (ends.select(c).scalar() for c in ("lo", "hi"))
+    part = F.floor((F.unix_micros("event_time") - lo) * ARRIVALS / (hi - lo).cast("double")).cast("int")
+    rows = T.with_event_time(t.events).withColumn("k", F.least(F.lit(ARRIVALS - 1), part)).select("event_id", "event_time", "k")
+    held = F.col("event_id") % 11 == 0
+    when = F.when(held, F.array(F.least(F.col("k") + 2, F.lit(ARRIVALS - 1)))).when(
+        (F.col("event_id") % 7 == 0) & (F.col("k") < ARRIVALS - 1), F.array("k", F.col("k") + 1)
+    )
+    rows = rows.select("event_id", "event_time", F.explode(F.coalesce(when, F.array("k"))).alias("arrival"))
+    return [rows.where(F.col("arrival") == k) for k in range(ARRIVALS)]
+
+
+def _after_arrivals(t):
+    return S.run_arrivals(_arrivals(t), lambda rows: S.deduplicated(rows, "event_id", ARRIVAL_DELAY), "late")
+
+
+@query(
+    "stream_late_arrivals",
+    "SELECT event_id, min(arrival) AS arrival FROM {arrived} WHERE NOT late GROUP BY event_id",
+)
+def _(t):
+    return _after_arrivals(t)[0].select("event_id", "arrival")
+
+
+@query(
+    "stream_late_dropped",
+    """SELECT CAST(r.k AS INT) AS arrival, count(event_id) AS rows_in, count(event_id) FILTER (late) AS dropped_late
+       FROM (SELECT unnest([0, 1, 2, 3, 4, 5]) AS k) r LEFT JOIN {arrived} a ON a.arrival = r.k GROUP BY r.k""",
+)
+def _(t):
+    progress = _after_arrivals(t)[1]
+    counts = [(k, sum(int(b["numInputRows"]) for b in batches), S.dropped_late(batches)) for k, batches in enumerate(progress)]
+    return t.spark.createDataFrame(counts, "arrival int, rows_in long, dropped_late long")
+
+
 @query("stream_late_dedup", "SELECT event_id, agent, duration_seconds FROM {telemetry}")
 def _(t):
     twice = _stream(t).unionByName(_stream(t))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lossgrid.sources.schemas import TELEMETRY_SOURCE_DDL
 from lossgrid.sources.scratch import fresh_path
@@ -44,32 +45,80 @@ def _settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _drain(
+    stream: DataFrame, path: str, mode: str, settings: dict[str, str] | None, progress: list | None
+) -> None:
+    """Runs everything available into ``path``; what an earlier call left there is the query's state."""
+    with _settings(stream.sparkSession, settings or {}):
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", f"{path}/_progress")
+            .foreachBatch(_sink(f"{path}/out", keep_all=mode != "complete"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    if progress is not None:
+        progress.extend(query.recentProgress)
+
+
 def run_available(
-    stream: DataFrame, name: str, mode: str = "append", settings: dict[str, str] | None = None
+    stream: DataFrame,
+    name: str,
+    mode: str = "append",
+    settings: dict[str, str] | None = None,
+    keys: Sequence[str] = (),
+    progress: list | None = None,
 ) -> DataFrame:
     """Process everything available, then return what was written.
 
     ``append`` output accumulates per batch; ``complete`` output is replaced by
-    every batch.  Nothing passes through the driver.
+    every batch; of ``update`` output the last version of every row of ``keys``
+    counts, so the sink is an upsert and the state may forget closed windows.
+    Nothing passes through the driver; ``progress`` receives the metrics of the batches.
     """
     spark = stream.sparkSession
     path = fresh_path(spark, name)
-    with _settings(spark, settings or {}):
-        query = (
-            stream.writeStream.outputMode(mode)
-            .option("checkpointLocation", f"{path}/_progress")
-            .foreachBatch(_sink(f"{path}/out", keep_all=mode == "append"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+    _drain(stream, path, mode, settings, progress)
     schema = stream.schema
     written = spark.read.schema(schema)
     if mode == "append":
         return written.option("recursiveFileLookup", True).parquet(f"{path}/out")
+    if mode == "update":
+        versions = spark.read.schema(StructType([*schema, StructField("batch_id", LongType())])).parquet(f"{path}/out")
+        rest = [c for c in stream.columns if c not in keys]
+        last = F.max_by(F.struct(*rest), "batch_id").alias("_last")
+        return versions.groupBy(*keys).agg(last).select(*keys, "_last.*")
     return written.parquet(f"{path}/out/current")
 
 
+def run_arrivals(
+    arrivals: Sequence[DataFrame],
+    build: Callable[[DataFrame], DataFrame],
+    name: str,
+    settings: dict[str, str] | None = None,
+) -> tuple[DataFrame, list[list[dict]]]:
+    """Lets tables arrive one after the other at a stream that keeps its state and watermark in between.
+
+    ``build`` makes the query of the stream; its output is in append mode.  Each arrival is a folder of any number of
+    files, read by one micro-batch.  The second result is the progress of the batches, a list for each arrival.
+    """
+    spark = arrivals[0].sparkSession
+    path, landing = fresh_path(spark, name), fresh_path(spark, f"{name}-landing")
+    seen: list[list[dict]] = []
+    for k, rows in enumerate(arrivals):
+        rows.write.parquet(f"{landing}/arrival={k}")
+        stream = build(spark.readStream.schema(arrivals[0].schema).parquet(f"{landing}/arrival=[0-9]*"))
+        seen.append([])
+        _drain(stream, path, "append", settings, seen[-1])
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{path}/out"), seen
+
+
+def dropped_late(progress: Sequence[dict]) -> int:
+    """Rows that the batches left out because the watermark had passed them."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for batch in progress for op in batch["stateOperators"])
+
+
 #: sessions are merged before the shuffle, so a busy user sends sessions and not events
 LOCAL_SESSION_MERGE = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
 

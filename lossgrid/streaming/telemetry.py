@@ -9,7 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lossgrid import config as C
 from lossgrid.functions.expr import pct, share
 from lossgrid.operators.scale import (
     distributed_lag,
@@ -82,12 +81,44 @@ def duration_quantiles(events: DataFrame, size: str, keys: Sequence[str] = (), p
     )
 
 
-def duration_quantiles_sketch(events: DataFrame, size: str, keys: Sequence[str] = (), probs=(0.95, 0.99)) -> DataFrame:
-    """Approximate twin for streams: the state per window is a fixed-size sketch."""
-    return windowed(
-        events, size, None, keys,
-        *[F.percentile_approx("duration_seconds", p, 10000).alias(f"p{int(round(p * 100))}") for p in probs],
+#: Size of a quantile sketch, and by how much the rank of what it answers can be off (a share of the rows).
+SKETCH_K, SKETCH_ERROR = 1000, 0.01
+
+
+def duration_sketches(events: DataFrame, size: str = "5 minutes", keys: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """A mergeable quantile sketch of the durations of every window: for streams, whose state it bounds."""
+    return windowed(events, size, None, keys, F.kll_sketch_agg_double("duration_seconds", F.lit(k)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, size: str, keys: Sequence[str] = (), probs=(0.95, 0.99), k: int = SKETCH_K) -> DataFrame:
+    """Quantiles over longer windows, from the sketches of the short ones inside them."""
+    longer = F.window(F.col("window.start"), size).alias("window")
+    merged = sketches.groupBy(longer, *keys).agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+    return flat(
+        merged.select(
+            "window", *keys, F.kll_sketch_get_n_double("sketch").alias("n"),
+            *[F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(f"p{int(round(p * 100))}") for p in probs],
+        )
+    )
+
+
+def quantiles_in_rank(
+    quantiles: DataFrame, events: DataFrame, size: str, probs=(0.95, 0.99), error: float = SKETCH_ERROR
+) -> DataFrame:
+    """``window_start``, ``n`` and for each quantile whether its true rank is within ``error`` of the one asked for."""
+    names = {p: f"p{int(round(p * 100))}" for p in probs}
+    starts = events.select(F.window("event_time", size)["start"].cast("timestamp_ntz").alias("window_start"), "duration_seconds")
+    both = starts.join(quantiles.select("window_start", *names.values()), "window_start")
+    d = F.col("duration_seconds")
+    n = F.count("duration_seconds")
+    counts = both.groupBy("window_start").agg(
+        n.alias("n"),
+        *[
+            ((F.count_if(d <= F.col(c)) >= (p - error) * n) & (F.count_if(d < F.col(c)) <= (p + error) * n)).alias(f"{c}_in_rank")
+            for p, c in names.items()
+        ],
     )
+    return counts
 
 
 def error_rate(events: DataFrame, keys: Sequence[str], size: str = "5 minutes", seconds: float = 300.0) -> DataFrame:
@@ -156,6 +187,32 @@ def offset_change(events: DataFrame, size: str, offset: str) -> DataFrame:
     return now.join(before, "window_start").withColumn("n_change_pct", change)
 
 
+def offset_change_stream(events: DataFrame, again: DataFrame, size: str, offset: str, delay: str) -> DataFrame:
+    """The same as a join of two streams: closed windows meet the ones that closed an offset earlier.
+
+    Both sides are windowed aggregates under a watermark.  Times are tied by a range as well as by equality, so that a
+    window is forgotten once the one it could meet has passed.
+    """
+
+    def totals(stream: DataFrame, prefix: str) -> DataFrame:
+        rows = stream.withWatermark("event_time", delay)
+        sums = windowed(rows, size, None, [], F.sum("duration_seconds").alias("total"), F.count("*").alias("n"))
+        # the time of a window carries the watermark on to the join
+        return sums.select(
+            F.col("window.start").alias(f"{prefix}_start"), F.window_time("window").alias(f"{prefix}_time"),
+            F.col("total").alias(f"{prefix}_total"), F.col("n").alias(f"{prefix}_n"),
+        )
+
+    back = f"interval {offset}"
+    tie = f"now_start = then_start + {back} AND now_time >= then_time + {back} AND now_time <= then_time + {back}"
+    both = totals(events, "now").join(totals(again, "then"), F.expr(tie))
+    change = F.try_divide(F.col("now_n") - F.col("then_n"), F.col("then_n").cast("double")) * 100.0
+    return both.select(
+        F.col("now_start").cast("timestamp_ntz").alias("window_start"), F.col("now_total").alias("total"), F.col("now_n").alias("n"),
+        F.col("then_total").alias("previous_total"), F.col("then_n").alias("previous_n"), change.alias("n_change_pct"),
+    )
+
+
 # -- service levels and alerts -----------------------------------------------
 
 
@@ -294,13 +351,3 @@ def sessions_by_gap(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
 def session_windows(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     """Built-in session windows, for streams."""
     return events.groupBy(F.session_window("event_time", gap).alias("window"), "user_id").agg(F.count("*").alias("n"))
-
-
-def staged_share(results: DataFrame, stage: str = "calculated_stage") -> DataFrame:
-    from lossgrid.operators.windows import share_of_total
-
-    return share_of_total(results, stage)
-
-
-def sla_limits() -> dict[str, float]:
-    return {task: minutes * 60.0 for task, minutes in C.SLA_MINUTES.items()}
