@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,13 +54,32 @@ def payment_schedule(loans: DataFrame, months: int = 12) -> DataFrame:
     )
 
 
-@F.udtf(returnType="month int, payment_date date, scheduled_payment double")
+@F.arrow_udtf(returnType="loan_id string, month int, payment_date date, scheduled_payment double")
 class PaymentSchedule:
-    """Table function twin of :func:`payment_schedule` for lateral joins."""
-
-    def eval(self, start: dt.date, payment: float, months: int):
-        for k in range(months):
-            year, month = divmod(start.year * 12 + start.month - 1 + k, 12)
-            following = dt.date(year + (month + 1) // 12, (month + 1) % 12 + 1, 1)
-            last = (following - dt.timedelta(days=1)).day
-            yield k, dt.date(year, month + 1, min(start.day, last)), payment
+    """Table function twin of :func:`payment_schedule` over a table of (loan_id, origination_date, monthly_payment, months).
+
+    A batch of loans at a time: days are clipped to the end of shorter months, a loan without a date has null dates.
+    """
+
+    def eval(self, batch: pa.RecordBatch):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        loan, start, payment, months = (batch.column(k) for k in range(4))
+        times = pc.fill_null(months, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(times)), times)
+        month = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+        day = start.to_numpy(zero_copy_only=False).astype("datetime64[D]")[row]
+        begins = day.astype("datetime64[M]")
+        due = (begins + month).astype("datetime64[D]") + (day - begins.astype("datetime64[D]"))
+        last = (begins + month + 1).astype("datetime64[D]") - np.timedelta64(1, "D")
+        at = pa.array(row)
+        yield pa.table(
+            {
+                "loan_id": loan.take(at),
+                "month": pa.array(month, pa.int32()),
+                "payment_date": pa.array(np.minimum(due, last), pa.date32(), from_pandas=True),
+                "scheduled_payment": payment.take(at),
+            }
+        )

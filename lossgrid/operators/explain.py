@@ -6,15 +6,18 @@ import re
 from itertools import combinations
 from math import factorial
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid import config as C
 from lossgrid.functions import portfolio as P
 from lossgrid.functions import rules as R
-from lossgrid.functions.expr import above, at_least, hit, lookup
+from lossgrid.functions.expr import at_least, hit, lookup
+from lossgrid.operators.moments import covariance
 from lossgrid.operators.quality import stack
 from lossgrid.operators.scale import computed_once, quantile_columns
+from lossgrid.sources.scratch import materialised
 
 _SLOT = re.compile(r"\{(\w+)\}")
 
@@ -154,6 +157,41 @@ def detect_outliers(results: DataFrame, contamination: float = 0.05) -> DataFram
     return scored.where(F.col("anomaly_score") > cut)
 
 
+def with_mahalanobis(results: DataFrame, columns=OUTLIER_FEATURES) -> DataFrame:
+    """Mahalanobis distance from the portfolio's centre; gaps count as zero.
+
+    The covariance comes from one pass of pairwise moments; its Cholesky factor is inverted on the driver (as many
+    numbers as pairs of columns) and the distance is column arithmetic.  Columns that the ones before them determine
+    add nothing.
+    """
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
+    active = results.where(F.col("current_balance") > 0)
+    means, matrix = covariance(active.select(*[v.alias(c) for c, v in filled.items()]), columns)
+    spread = np.sqrt(np.diag(matrix))
+    kept: list[int] = []
+    for k in range(len(means)):  # on the scale of correlations, where a remainder near zero means dependence
+        trial = [*kept, k]
+        if spread[k] > 0 and np.linalg.eigvalsh(matrix[np.ix_(trial, trial)] / np.outer(spread[trial], spread[trial]))[0] > 1e-10:
+            kept.append(k)
+    names = [columns[k] for k in kept]
+    factor = np.linalg.inv(np.linalg.cholesky(matrix[np.ix_(kept, kept)])) if kept else np.zeros((0, 0))
+    apart = [filled[c] - float(means[k]) for c, k in zip(names, kept)]
+    parts = [
+        sum((apart[j] * float(factor[i, j]) for j in range(1, i + 1)), apart[0] * float(factor[i, 0])) for i in range(len(names))
+    ]
+    if not parts:
+        return active.withColumn("distance", F.lit(0.0))
+    total = F.aggregate(F.array(*parts), F.lit(0.0), lambda acc, z: acc + z * z)
+    return computed_once(active, "distance", F.sqrt(total))
+
+
+def distant(results: DataFrame, columns=OUTLIER_FEATURES, contamination: float = 0.05) -> DataFrame:
+    """The share of the portfolio with the largest Mahalanobis distance, cut at an exact quantile."""
+    scored = materialised(with_mahalanobis(results, columns), "distances")
+    cut = quantile_columns(scored, {"q": ("distance", 1.0 - contamination)}).scalar()
+    return scored.where(F.col("distance") > cut)
+
+
 # -- contributions -----------------------------------------------------------
 
 INPUTS = ("credit_score", "days_past_due", "dti_ratio")
@@ -236,7 +274,3 @@ def global_importance(loans: DataFrame) -> DataFrame:
     return stack(one, [{"feature": F.lit(c), "importance": F.col(c)} for c in INPUTS]).orderBy(
         F.desc_nulls_last("importance"), "feature"
     )
-
-
-def severity_level(score: Column) -> Column:
-    return above(score, ((3.0, "high"), (2.0, "medium")), "low")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lossgrid.operators.explain import OUTLIER_FEATURES
 from lossgrid.operators.sampling import loan_hash
 from lossgrid.operators.scale import quantile_columns
+from lossgrid.sources.scratch import materialised
 
 SAMPLE = 256
 TREE_SCHEMA = "tree int, size int, feature array<int>, split array<double>, left array<int>, depth array<double>"
@@ -102,11 +103,20 @@ def with_isolation_score(df: DataFrame, forest: list, columns: Sequence[str]) ->
     return df.withColumn("anomaly_score", score(filled))
 
 
+def isolation_scores(results: DataFrame, columns: Sequence[str] = OUTLIER_FEATURES, trees: int = 100) -> DataFrame:
+    """``loan_id``, the columns and ``anomaly_score`` of every active loan, written once for the passes that follow."""
+    active = results.where(F.col("current_balance") > 0).select("loan_id", *columns)
+    return materialised(with_isolation_score(active, fit(active, columns, trees), columns), "isolation")
+
+
+def strangest(scored: DataFrame, contamination: float = 0.05) -> DataFrame:
+    """The share of the scored rows with the lowest scores."""
+    cut = quantile_columns(scored, {"q": ("anomaly_score", contamination)}).scalar()
+    return scored.where(F.col("anomaly_score") < cut)
+
+
 def isolation_outliers(
     results: DataFrame, columns: Sequence[str] = OUTLIER_FEATURES, contamination: float = 0.05, trees: int = 100
 ) -> DataFrame:
     """Loans whose score falls in the strangest share of the portfolio."""
-    active = results.where(F.col("current_balance") > 0)
-    scored = with_isolation_score(active.select("loan_id", *columns), fit(active.select("loan_id", *columns), columns, trees), columns)
-    cut = quantile_columns(scored, {"q": ("anomaly_score", contamination)}).scalar()
-    return scored.where(F.col("anomaly_score") < cut)
+    return strangest(isolation_scores(results, columns, trees), contamination)

@@ -17,7 +17,9 @@ from lossgrid import config as C
 from lossgrid.config import DEFAULTS, EclConfig
 from lossgrid.functions import rules as R
 from lossgrid.functions.expr import hit, pct, share
+from lossgrid.operators.moments import correlations
 from lossgrid.operators.scale import exact_quantiles, quantile_columns
+from lossgrid.sources.scratch import materialised
 
 
 def stack(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
@@ -413,6 +415,13 @@ NUMERIC_COLUMNS = (
 )
 
 
+def narrow_portfolio(results: DataFrame) -> DataFrame:
+    """The columns of all tiers, written once: their aggregates, quantiles and moments are passes of their own."""
+    df = scored_portfolio(results)
+    wanted = dict.fromkeys([*REQUIRED_FIELDS, *ML_FEATURES, *NUMERIC_COLUMNS, "pd_lifetime"])
+    return materialised(df.select(*[c for c in wanted if c in df.columns]), "portfolio")
+
+
 def scored_portfolio(results: DataFrame) -> DataFrame:
     """Results under the column names the readiness tiers use."""
     stage = R.stage_number(F.col("calculated_stage"))
@@ -526,11 +535,12 @@ def tier_distribution(df: DataFrame) -> Tier:
 
 def tier_correlation(df: DataFrame) -> Tier:
     cols = [c for c in NUMERIC_COLUMNS if c in df.columns]
-    aggs, strong, rows = {}, [], []
+    wanted = list(dict.fromkeys([*cols, *(c for a, b, _, _ in EXPECTED_CORRELATIONS for c in (a, b))]))
+    pair = F.concat_ws(":", "a", "b")
+    found = correlations(df, wanted).agg(F.map_from_entries(F.collect_list(F.struct(pair.alias("pair"), "r"))).alias("m"))
+    rows = []
     for a, b, sign, strength in EXPECTED_CORRELATIONS:
-        key = f"t4_{a}_{b}"
-        aggs[key] = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-        r = F.col(key)
+        r = F.try_element_at("t4_r", F.lit(":".join(sorted((a, b), key=wanted.index))))
         right = (r * sign) > 0
         firm = right & (F.abs(r) >= strength)
         rows.append(
@@ -540,14 +550,12 @@ def tier_correlation(df: DataFrame) -> Tier:
                 F.when(firm, 100.0).when(right, 70.0).otherwise(30.0),
             )
         )
-    for i, a in enumerate(cols):
-        for b in cols[i + 1 :]:
-            key = f"t4_{a}_{b}" if f"t4_{a}_{b}" in aggs else f"t4p_{a}_{b}"
-            aggs.setdefault(key, F.expr(f"corr(cast({a} as double), cast({b} as double))"))
-            strong.append(f"coalesce(abs({key}) > 0.95, false)")
-    many = F.expr(" or ".join(strong))
+    listed = [f"{a}:{b}" for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    close = F.map_filter("t4_r", lambda k, v: k.isin(listed) & (F.abs(v) > 0.95))
+    many = F.size(close) > 0
     rows.append(("multicollinearity_detection", F.when(many, "WARNING").otherwise("PASSED"), F.when(many, 60.0).otherwise(100.0)))
-    return Tier("correlation_validation", 80.0, aggs, rows)
+    # a scalar of its own: one entry per pair of columns
+    return Tier("correlation_validation", 80.0, {"t4_n": F.count("*")}, rows, after={"t4_r": found.scalar()})
 
 
 def tier_compliance(df: DataFrame, transitions: DataFrame | None = None) -> Tier:

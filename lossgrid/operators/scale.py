@@ -12,6 +12,9 @@ from lossgrid.sources.scratch import cut_lineage
 #: rank accuracy of the sketch that brackets an exact quantile
 SKETCH_ACCURACY = 20_000
 
+#: bins that the values of a bracket are counted in
+BINS = 1024
+
 
 def attach_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column) -> DataFrame:
     """Group aggregates on every row.
@@ -67,10 +70,13 @@ def exact_quantiles(
     2. Values outside all brackets are collapsed onto the nearest bracket edge,
        which keeps their rank, and equal values are counted map-side.  What is
        left per group is a small fraction of its distinct values.
-    3. Running counts over those pick the order statistics.
+    3. Every bracket is cut into bins.  How many values come before a bin follows
+       from the bins' counts, so running counts are taken bin by bin, and they pick
+       the order statistics.
 
-    No step holds a group's values in memory: the sketch has fixed size and the
-    running count streams over a sorted, spillable partition.
+    No step holds a group's values in memory, and no task sorts more of a group than
+    a bin: the sketch has fixed size, and so have the counts of the bins.  A rank that
+    no value holds is an error.
     """
     probs = sorted(set(float(p) for p in probs))
     group = [*by, "metric"]
@@ -101,12 +107,12 @@ def exact_quantiles(
         bracketed = values.withColumns({"_s": row}).select(*group, "value", "_s.n", "_s._edges")
     counts = (
         bracketed
-        .select(*group, "n", F.when(inside, v).otherwise(floor_edge).alias("value"))
-        .groupBy(*group, "value")
+        .select(*group, "n", "_edges", F.when(inside, v).otherwise(floor_edge).alias("value"))
+        .select(*group, "n", "value", _bin(v, brackets).alias("_bin"))
+        .groupBy(*group, "_bin", "value")
         .agg(F.first("n").alias("n"), F.count("*").alias("c"))
     )
-    order = Window.partitionBy(*group).orderBy(F.asc_nulls_first("value"))
-    ranked = counts.withColumn("_upto", F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = _running(counts, group)
     wanted = F.explode(F.array(*[F.lit(p) for p in probs]))
     hits = ranked.select("*", wanted.alias("prob")).withColumns(
         {"_lo": F.floor(F.col("prob") * (F.col("n") - 1)), "_hi": F.ceil(F.col("prob") * (F.col("n") - 1))}
@@ -122,9 +128,35 @@ def exact_quantiles(
         F.max(F.when(holds(F.col("_hi")), v)).alias("_b"),
     )
     part = F.col("prob") * (F.col("n") - 1) - F.floor(F.col("prob") * (F.col("n") - 1))
-    return picked.select(
-        *group, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * part).alias("value"), "n"
-    )
+    value = F.col("_a") + (F.col("_b") - F.col("_a")) * part
+    return picked.select(*group, "prob", _found(value).alias("value"), "n")
+
+
+def _bin(value: Column, brackets: Sequence[tuple[Column, Column]]) -> Column:
+    """Number of a value's bin: higher values have the same or a higher one.  Null is below all values."""
+    above = sum(((value > hi).cast("int") for _, hi in brackets[1:]), (value > brackets[0][1]).cast("int"))
+    place = F.lit(0)
+    for k, (lo, hi) in reversed(list(enumerate(brackets))):
+        share = F.coalesce(F.try_divide((value - lo) * BINS, hi - lo), F.lit(0.0))
+        inside = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor(share))).cast("int")
+        place = F.when(value <= hi, inside).otherwise(place)
+    return F.when(value.isNotNull(), above * BINS + place).otherwise(-1)
+
+
+def _running(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``_upto``: how many of the group's values are at most this one."""
+    # at most BINS rows for each bracket of a group
+    sums = counts.groupBy(*group, "_bin").agg(F.sum("c").alias("_c"))
+    earlier = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*group, "_bin", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(*group, "_bin").orderBy(F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("_upto", F.sum("c").over(within)).join(sums, [*group, "_bin"]).withColumn(
+        "_upto", F.col("_upto") + F.col("_before")
+    ).drop("_before", "_bin")
+
+
+def _found(value: Column) -> Column:
+    return F.when(value.isNull(), F.raise_error(F.lit("no value holds the rank asked for")).cast("double")).otherwise(value)
 
 
 def quantile_columns(
@@ -162,12 +194,12 @@ def smallest_rank_threshold(
     collapsed = F.when(kept, v).otherwise(F.when(v > hi, hi))
     counts = (
         values.join(F.broadcast(sketch) if bounded else sketch, group)
-        .select(*group, "n", collapsed.alias("value"))
-        .groupBy(*group, "value")
+        .select(*group, "n", "_e", collapsed.alias("value"))
+        .select(*group, "n", "value", _bin(v, [(lo, hi)]).alias("_bin"))
+        .groupBy(*group, "_bin", "value")
         .agg(F.first("n").alias("n"), F.count("*").alias("c"))
     )
-    order = Window.partitionBy(*group).orderBy(F.asc_nulls_first("value"))
-    ranked = counts.withColumn("_upto", F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = _running(counts, group)
     rank = F.floor(F.lit(fraction) * F.col("n"))
     here = (rank >= F.col("_upto") - F.col("c")) & (rank < F.col("_upto"))
     return ranked.groupBy(*by).agg(F.max(F.when(here, v)).alias("threshold"), F.max("n").alias("n"))
@@ -178,7 +210,7 @@ def smallest_rank_threshold(
 _ROW_BITS = (1 << 33) - 1
 
 
-def _ordered(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame:
+def ordered_slices(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Range-sorted rows with partition number and position, pinned by a checkpoint.
 
     Two later passes read the same placement, so it must not be recomputed.
@@ -198,7 +230,7 @@ def distributed_row_number(
     many rows of its group lie in earlier partitions.
     """
     part = list(part)
-    rows = _ordered(df, part, order)
+    rows = ordered_slices(df, part, order)
     starts = rows.groupBy(*part, "_pid").agg(F.min("_pos").alias("_start"), F.count("*").alias("_c"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
@@ -212,7 +244,7 @@ def distributed_running_sums(
 ) -> DataFrame:
     """Sums over all strictly earlier rows of the group (exclusive prefix sums), distributed like above."""
     part = list(part)
-    rows = _ordered(df.withColumns(sums), part, order)
+    rows = ordered_slices(df.withColumns(sums), part, order)
     names = list(sums)
     totals = rows.groupBy(*part, "_pid").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
     earlier = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -236,7 +268,7 @@ def distributed_lag(
     the last row of the group from the nearest earlier partition.
     """
     part = list(part)
-    rows = _ordered(df, part, order)
+    rows = ordered_slices(df, part, order)
     within = Window.partitionBy(*part, "_pid").orderBy("_pos")
     names = list(columns)
     tails = rows.groupBy(*part, "_pid").agg(

@@ -3,15 +3,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
+from math import isnan
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossgrid.config import DEFAULTS
 from lossgrid.functions.expr import month_start, pct, share
 from lossgrid.operators.reports import credit_quality_monthly
-from lossgrid.operators.scale import distributed_row_number
+from lossgrid.operators.scale import distributed_row_number, ordered_slices
 
 PAYMENT_ORDER = ("payment_date", "line_no", "l_partkey", "l_suppkey")
 
@@ -133,24 +137,54 @@ def payment_streaks(payments: DataFrame) -> DataFrame:
 
 
 def persistence(series: DataFrame, date: str, weights: dict[str, float]) -> DataFrame:
-    """x_t = w*x_{t-1} + (1-w)*u_t, exactly, over a calendar series (one row per month).
+    """x_t = w*x_{t-1} + (1-w)*u_t, exactly, in the order of ``date``; the first x is the first u.
 
-    The whole series is one small array; ``aggregate`` folds it in order.
+    A step is an affine map of the value before it, and maps compose.  The series is range-sorted once; every slice
+    works out its maps on its own, the slices' last maps (one row each) are followed on the driver, and each row's
+    map is then applied to what enters its slice.  A null value passes on what was before it; while there was none,
+    the smooth value is null.
     """
     columns = list(weights)
-    packed = series.agg(
-        F.array_sort(F.collect_list(F.struct(date, *columns))).alias("s")
-    )
-
-    def fold(c: str, w: float) -> Column:
-        start = F.array(F.element_at("s", 1)[c])
-        step = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) * w + x[c] * (1.0 - w)))
-        return F.aggregate(F.slice("s", F.lit(2), F.greatest(F.size("s") - 1, F.lit(0))), start, step)
-
-    smooth = {c: fold(c, w) for c, w in weights.items()}
-    return packed.select(
-        F.explode(F.arrays_zip(F.col("s").alias("s"), *[v.alias(c) for c, v in smooth.items()])).alias("z")
-    ).select(F.col(f"z.s.{date}").alias(date), *[F.col(f"z.{c}").alias(f"{c}_smooth") for c in columns])
+    placed = ordered_slices(series.select(date, *[F.col(c).cast("double").alias(c) for c in columns]), [], [date])
+    maps = [f"{x}{k}" for k in range(len(columns)) for x in ("_a", "_b")]
+
+    def compose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # x = a * (what enters the slice) + b
+        state = [(1.0, 0.0)] * len(columns)
+        for batch in batches:
+            out = {date: batch[date], "_pid": batch["_pid"], "_pos": batch["_pos"]}
+            for k, c in enumerate(columns):
+                w = weights[c]
+                steps = accumulate(
+                    batch[c], lambda m, u, w=w: m if isnan(u) else (w * m[0], w * m[1] + (1.0 - w) * u), initial=state[k]
+                )
+                *_, state[k] = found = list(steps)
+                out[f"_a{k}"], out[f"_b{k}"] = np.array(found[1:]).reshape(-1, 2).T
+            yield pd.DataFrame(out)
+
+    kind = series.schema[date].dataType.simpleString()
+    schema = f"{date} {kind}, _pid long, _pos long, " + ", ".join(f"{m} double" for m in maps)
+    mapped = placed.select(date, "_pid", "_pos", *columns).mapInPandas(compose, schema)
+    ends = mapped.groupBy("_pid").agg(*[F.max_by(m, "_pos").alias(m) for m in maps]).orderBy("_pid").collect()
+    at = F.struct("_pid", "_pos")
+    starts = placed.agg(
+        *[F.min(F.when(F.col(c).isNotNull(), F.struct("_pid", "_pos", F.col(c).alias("value")))).alias(c) for c in columns]
+    ).first()
+    # the value before the first one is taken to be the first one
+    now = [starts[c] and starts[c]["value"] for c in columns]
+    entering = []
+    for end in ends:
+        entering.append((end["_pid"], *now))
+        now = [None if x is None else end[f"_a{k}"] * x + end[f"_b{k}"] for k, x in enumerate(now)]
+    enters = series.sparkSession.createDataFrame(entering, "_pid long" + "".join(f", _x{k} double" for k in range(len(columns))))
+    smooth = []
+    for k, c in enumerate(columns):
+        value = F.col(f"_a{k}") * F.col(f"_x{k}") + F.col(f"_b{k}")
+        if starts[c]:
+            begun = at >= F.struct(*[F.lit(starts[c][x]).alias(x) for x in ("_pid", "_pos")])
+            value = F.when(begun, value)
+        smooth.append(value.alias(f"{c}_smooth"))
+    return mapped.join(F.broadcast(enters), "_pid").select(date, *smooth)  # one row per slice
 
 
 def cycle_phase(series: DataFrame, date: str, phases: Sequence[tuple[str, int]], start_index: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lossgrid import config as C
 from lossgrid.operators import explain as E
-from lossgrid.operators.isolation import isolation_outliers
+from lossgrid.operators.isolation import isolation_outliers, isolation_scores, strangest
 from lossgrid.plans.registry import SQL_ONLY, query
 
 
@@ -137,6 +137,55 @@ def _(t):
     return E.explain_outlier_text(flagged).select("loan_id", "anomaly_score", "outlier_explanation")
 
 
+_FAR = ("loan_amount", "credit_score", "dti_ratio")
+
+
+def _mahalanobis_sql() -> str:
+    """Three columns, with the covariance inverted by its cofactors."""
+    x, y, z = _FAR
+    moments = ", ".join(
+        [f"avg({c}) AS m{k}" for k, c in enumerate(_FAR)]
+        + [f"covar_pop({_FAR[i]}, {_FAR[j]}) AS c{i}{j}" for i, j in ((0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2))]
+    )
+    u, v, w = f"({x}-m0)", f"({y}-m1)", f"({z}-m2)"
+    det = "(c00*(c11*c22-c12*c12) - c01*(c01*c22-c12*c02) + c02*(c01*c12-c11*c02))"
+    form = (
+        f"({u}*{u}*(c11*c22-c12*c12) + {v}*{v}*(c00*c22-c02*c02) + {w}*{w}*(c00*c11-c01*c01)"
+        f" + 2*{u}*{v}*(c02*c12-c01*c22) + 2*{u}*{w}*(c01*c12-c02*c11) + 2*{v}*{w}*(c01*c02-c00*c12))"
+    )
+    active = "{results} r, (SELECT " + moments + " FROM {results} WHERE current_balance>0) m WHERE current_balance>0"
+    return f"SELECT loan_id, sqrt({form}/{det}) AS distance FROM {active}"
+
+
+SQL_ONLY["far"] = _mahalanobis_sql()
+
+
+@query(
+    "mahalanobis_outliers",
+    "SELECT loan_id, distance FROM {far} WHERE distance > (SELECT quantile_cont(distance, 0.95) FROM {far})",
+    ratio="distance",
+)
+def _(t):
+    return E.distant(t.results, _FAR).select("loan_id", "distance")
+
+
+@query(
+    "isolation_summary",
+    """SELECT count(*) AS scored, true AS in_range, true AS a_twentieth, true AS apart FROM {results} WHERE current_balance>0""",
+)
+def _(t):
+    """What must hold for any isolation forest: a score for every active loan, and the strangest twentieth set apart."""
+    scored = isolation_scores(t.results)
+    flagged = strangest(scored)
+    few = flagged.agg(F.count("*").alias("n"), F.max("anomaly_score").alias("most"))
+    n, most = (few.select(c).scalar() for c in ("n", "most"))
+    rest = scored.join(flagged.select("loan_id"), "loan_id", "left_anti").agg(F.min("anomaly_score").alias("least")).scalar()
+    one = scored.agg(F.count("*").alias("scored"), F.min(F.col("anomaly_score").between(-1, 0)).alias("in_range"))
+    return one.select(
+        "scored", "in_range", ((n > 0) & (n <= F.ceil(F.col("scored") * 0.05))).alias("a_twentieth"), (most < rest).alias("apart")
+    )
+
+
 @query("isolation_outliers")
 def _(t):
     return isolation_outliers(t.results).select("loan_id", "anomaly_score")

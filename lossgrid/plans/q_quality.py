@@ -439,7 +439,7 @@ TIER_SQL = {name: _wrap(*parts) for name, parts in _tiers().items()}
 def _one_tier(key: str, name: str, build):
     @query(key, TIER_SQL[name], ratio="score")
     def _(t):
-        df = Q.scored_portfolio(t.results)
+        df = Q.narrow_portfolio(t.results)
         return Q.tier_checks(df, [build(df, t)])
 
 
@@ -462,7 +462,7 @@ _one_tier("tier_ml_readiness", "ml_readiness_validation", lambda df, t: Q.tier_m
     ratio="overall_score",
 )
 def _(t):
-    df = Q.scored_portfolio(t.results)
+    df = Q.narrow_portfolio(t.results)
     tiers = [
         Q.tier_completeness(df), Q.tier_consistency(df), Q.tier_distribution(df), Q.tier_correlation(df),
         Q.tier_compliance(df, t.transitions), Q.tier_ml_readiness(df),

@@ -348,10 +348,8 @@ def _(t):
     money="total",
 )
 def _(t):
-    call = PaymentSchedule(
-        F.col("origination_date").outer(), F.col("monthly_payment").outer(), F.lit(12)
-    )
-    rows = t.loans.select("loan_id", "origination_date", "monthly_payment").lateralJoin(call)
+    loans = t.loans.select("loan_id", "origination_date", "monthly_payment", F.lit(12).alias("months"))
+    rows = PaymentSchedule(loans.asTable())
     return rows.groupBy("month").agg(
         F.count("*").alias("n"), F.sum("scheduled_payment").alias("total"), F.max("payment_date").alias("last_date")
     )

@@ -33,6 +33,24 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """A copy in the shared folder, for narrow tables that several passes read."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def version_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of all files below a folder: the same as long as its tables are."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later readers see the same rows after executor loss."""
     sc = df.sparkSession.sparkContext

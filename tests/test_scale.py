@@ -123,3 +123,34 @@ def test_ids_keep_all_digits(spark):
     text = DERIVED["payments"].split(" AS loan_id")[0].split("SELECT ")[1]
     got = spark.createDataFrame([(k,) for k in keys], "l_orderkey long").selectExpr(f"{text} AS loan_id").collect()
     assert [r.loan_id for r in got] == ["L000005", "L099999", "L999999", "L1000000", "L1000001", "L9999999999"]
+
+
+def test_affine_scan_of_a_long_series(spark):
+    """A million steps over many slices, with gaps and nothing at the start."""
+    import numpy as np
+
+    from lossgrid.operators.windows import persistence
+
+    n = 1_000_000
+    k = F.col("id")
+    u = F.when((k < 3) | (k % 1000 == 17), None).otherwise(F.pmod(F.hash(k), F.lit(1000)) / 10.0)
+    series = spark.range(n).select(k.alias("day"), u.alias("u"), F.when(k == 0, 1.0).otherwise(u).alias("v")).repartition(9)
+    got = persistence(series, "day", {"u": 0.7, "v": 0.99}).toPandas().sort_values("day")
+    values = series.orderBy("day").toPandas()
+    for c, w in (("u", 0.7), ("v", 0.99)):
+        x, want = None, np.full(n, np.nan)
+        for i, v in enumerate(values[c].to_numpy()):
+            if not np.isnan(v):
+                x = v if x is None else w * x + (1 - w) * v
+            if x is not None:
+                want[i] = x
+        np.testing.assert_allclose(got[f"{c}_smooth"].to_numpy(dtype=float), want, rtol=1e-9)
+
+
+def test_affine_scan_of_nothing(spark):
+    from lossgrid.operators.windows import persistence
+
+    empty = spark.createDataFrame([], "day long, u double")
+    assert persistence(empty, "day", {"u": 0.5}).count() == 0
+    nulls = spark.createDataFrame([(1, None), (2, None)], "day long, u double")
+    assert [r["u_smooth"] for r in persistence(nulls, "day", {"u": 0.5}).collect()] == [None, None]
