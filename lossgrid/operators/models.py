@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from statistics import fmean, pstdev
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -21,6 +22,7 @@ from lossgrid.config import DEFAULTS, EclConfig
 from lossgrid.functions.rules import stage_label, stage_number
 from lossgrid.operators.evaluation import auc_one_vs_rest, class_report, weighted_auc
 from lossgrid.operators.sampling import split_stratified
+from lossgrid.operators.tuning import LABELLED_ROWS, Whole, labelled_sample, search
 
 FEATURES = (
     "loan_amount", "interest_rate", "term_months", "credit_score", "days_past_due", "dti_ratio", "ltv_ratio",
@@ -87,8 +89,19 @@ def train_stage(
         train.unpersist()
 
 
-def train_pd(table: DataFrame, features: Sequence[str] = FEATURES, rounds: int = 100, depth: int = 5) -> Fit:
-    """Boosted PD model; predictions are limited to [0, 1] before scoring."""
+def train_pd(
+    table: DataFrame,
+    features: Sequence[str] = FEATURES,
+    rounds: int = 100,
+    depth: int = 5,
+    folds: int = 5,
+    fold_rows: int = LABELLED_ROWS,
+) -> Fit:
+    """Boosted PD model; predictions are limited to [0, 1] before scoring.
+
+    The model learns from all training rows.  Its cross-validated absolute error comes from ``folds`` models on at most
+    ``fold_rows`` of them, drawn by the stages' shares.
+    """
     train, test = table.where("is_train"), table.where("not is_train")
     model = pd_regressor(features, rounds, depth).fit(train)
     scored = with_pd(model.transform(test))
@@ -96,6 +109,14 @@ def train_pd(table: DataFrame, features: Sequence[str] = FEATURES, rounds: int =
         m: RegressionEvaluator(predictionCol="ml_pd_prediction", metricName=m).evaluate(scored)
         for m in ("mae", "mse", "rmse", "r2")
     }
+    if folds > 1:
+        sample = labelled_sample(table, fold_rows, folds).coalesce(1).persist()
+        try:
+            with ThreadPoolExecutor(folds) as pool:
+                errors = list(pool.map(lambda k: _fold_error(sample, k, features, rounds, depth), range(folds)))
+        finally:
+            sample.unpersist()
+        metrics |= {"cv_mae_mean": fmean(errors), "cv_mae_std": pstdev(errors)}
     return Fit(model, metrics, _importance(model, features))
 
 
@@ -149,34 +170,34 @@ def score_portfolio(table: DataFrame, stage_model: PipelineModel, cfg: EclConfig
     )
 
 
-def tune(table: DataFrame, features: Sequence[str] = FEATURES, draws: int = 50, folds: int = 5, seed: int = 42, max_trees: int = 300) -> DataFrame:
-    """Random search over forest parameters by cross-validated F1; one row per draw."""
-    rng = random.Random(seed)
-    pipeline = stage_classifier(features)
-    forest = pipeline.getStages()[-1]
-    grid = [
-        {
-            forest.numTrees: rng.randrange(5, max_trees + 1, 5),
-            forest.maxDepth: rng.randint(3, 8),
-            forest.minInstancesPerNode: rng.randint(1, 20),
-        }
-        for _ in range(draws)
-    ]
-    train = table.where("is_train").persist()
+def tune(
+    table: DataFrame,
+    features: Sequence[str] = FEATURES,
+    draws: int = 50,
+    folds: int = 5,
+    seed: int = 42,
+    max_trees: int = 300,
+    labelled_rows: int = LABELLED_ROWS,
+) -> DataFrame:
+    """Forest parameters by mean one-vs-rest AUC over stratified folds; one row per trial.
+
+    ``labelled_rows`` bounds the training rows of the search.  ``folds`` in the result tells after how many of them a
+    trial was stopped or complete; the best trial is a complete one.
+    """
+    space = {"trees": Whole(5, max_trees, 5), "depth": Whole(3, 8), "leaf": Whole(1, 20)}
+    sample = _assembler(features).transform(labelled_sample(table, labelled_rows, folds))
+    sample = sample.select("label", "features", "fold").coalesce(1).persist()
     try:
-        cv = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-            numFolds=folds, seed=seed, parallelism=4,
-        ).fit(train)
+        trials = search(sample, space, draws, folds, seed)
     finally:
-        train.unpersist()
+        sample.unpersist()
+    top = max(t.mean for t in trials if not t.stopped)
     rows = [
-        (i, g[forest.numTrees], g[forest.maxDepth], g[forest.minInstancesPerNode], float(s))
-        for i, (g, s) in enumerate(zip(grid, cv.avgMetrics))
+        (k, *(t.params[n] for n in space), len(t.scores), t.stopped, t.mean, not t.stopped and t.mean == top)
+        for k, t in enumerate(trials)
     ]
-    return table.sparkSession.createDataFrame(rows, "draw int, trees int, depth int, leaf int, score double").withColumn(
-        "best", F.col("score") == max(cv.avgMetrics)
-    )
+    names = "trial int, trees int, depth int, leaf int, folds int, stopped boolean, auc double, best boolean"
+    return table.sparkSession.createDataFrame(rows, names)
 
 
 def select_model(metrics: DataFrame, strategy: str = "auto") -> DataFrame:
@@ -207,10 +228,6 @@ def select_model(metrics: DataFrame, strategy: str = "auto") -> DataFrame:
     return one.select(F.lit(strategy).alias("strategy"), chosen.alias("selected"), reason.alias("reason"), "simple", "advanced")
 
 
-def best_by_auc(metrics: DataFrame) -> DataFrame:
-    return metrics.where("success").orderBy(F.desc_nulls_last("auc"), "name").limit(1)
-
-
 def metric_table(spark: SparkSession, values: Mapping[str, float]) -> DataFrame:
     return spark.createDataFrame([(k, float(v)) for k, v in values.items()], "metric string, value double")
 

@@ -1,27 +1,35 @@
 """Training, scoring and evaluation queries.
 
-Models have the operators' full sizes and all rows; the README has measured times.
+Models have the operators' full sizes and learn from all training rows (the parameter search and the folds of the PD model
+from a bounded sample of them).  What a model says about a loan has no SQL form, so its queries return what must hold for
+whatever it says: row counts, sums of probabilities, bounds of its errors.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lossgrid.operators import attributions as A
 from lossgrid.operators import evaluation as V
 from lossgrid.operators import models as M
+from lossgrid.operators.tuning import LABELLED_ROWS, STARTUP
 from lossgrid.plans.registry import SQL_ONLY, query
-from lossgrid.sources.scratch import fresh_path
+from lossgrid.sources.scratch import fresh_path, materialised, version_of
 
 _FITS: dict[tuple, M.Fit] = {}
 
+#: What a model must reach on the rows it has not seen.
+LEAST_ACCURACY, LEAST_AUC, MOST_ERROR = 0.85, 0.8, 0.05
+
 
 def _table(t):
     return M.training_table(t.staged)
 
 
 def _fit(t, folds: int = 5) -> M.Fit:
-    """One forest per session and directory, shared by the queries below; folds add metrics and leave the model as it is."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir, folds)
+    """One forest per session and state of the tables, shared by the queries below; folds add metrics and leave the
+    model as it is."""
+    key = (t.spark.sparkContext.applicationId, version_of(t.spark, t.sf_dir), folds)
     if key not in _FITS:
         _FITS[key] = M.train_stage(_table(t), folds=folds)
     return _FITS[key]
@@ -29,54 +37,132 @@ def _fit(t, folds: int = 5) -> M.Fit:
 
 def _forest(t) -> M.Fit:
     """The same forest for queries that show none of the folds' metrics."""
-    return _FITS.get((t.spark.sparkContext.applicationId, t.sf_dir, 5)) or _fit(t, folds=0)
+    return _FITS.get((t.spark.sparkContext.applicationId, version_of(t.spark, t.sf_dir), 5)) or _fit(t, folds=0)
+
+
+SQL_ONLY["stage_sizes"] = "SELECT stage, count(*) AS n, CAST(floor(0.8E0*count(*)) AS BIGINT) AS train FROM {staged} GROUP BY stage"
+
+_SPLIT_SQL = "SELECT sum(train) AS train_rows, sum(n-train) AS test_rows FROM {stage_sizes}"
+
+
+def _split_counts(table):
+    return table.agg(F.count_if("is_train").alias("train_rows"), F.count_if(~F.col("is_train")).alias("test_rows"))
+
+
+def _reached(metrics: dict) -> dict:
+    """A stage model's metrics against what they must reach."""
+    whole = [metrics[k] for k in ("accuracy", "roc_auc", "cv_mean")]
+    return {
+        "accurate": F.lit(metrics["accuracy"] >= LEAST_ACCURACY),
+        "ranks": F.lit(metrics["roc_auc"] >= LEAST_AUC),
+        "folds_agree": F.lit(abs(metrics["cv_mean"] - metrics["accuracy"]) <= 0.05 and metrics["cv_std"] <= 0.05),
+        "in_range": F.lit(all(0.0 <= x <= 1.0 for x in whole)),
+    }
+
+
+_REACHED_SQL = f"""SELECT CAST(train_rows AS BIGINT) AS train_rows, CAST(test_rows AS BIGINT) AS test_rows,
+  true AS accurate, true AS ranks, true AS folds_agree, true AS in_range FROM ({_SPLIT_SQL}) s"""
 
 
-@query("train_stage_classifier")
+@query("train_stage_classifier", _REACHED_SQL)
 def _(t):
-    return M.metric_table(t.spark, _fit(t).metrics)
+    return _split_counts(_table(t)).withColumns(_reached(_fit(t).metrics))
 
 
-@query("train_stage_8feat")
+@query(
+    "train_stage_8feat",
+    _REACHED_SQL.replace("true AS in_range", "true AS in_range, CAST(8 AS INT) AS features, CAST(1 AS DOUBLE) AS importance"),
+    ratio="importance",
+)
 def _(t):
-    fit = M.train_stage(_table(t), trees=200, depth=12)
-    return M.metric_table(t.spark, fit.metrics | {f"importance_{k}": v for k, v in fit.importance.items()})
+    table = _table(t)
+    fit = M.train_stage(table, trees=200, depth=12)
+    shown = {"features": F.lit(len(fit.importance)), "importance": F.lit(sum(fit.importance.values()))}
+    return _split_counts(table).withColumns(_reached(fit.metrics) | shown)
 
 
-@query("train_pd_regressor")
+@query(
+    "train_pd_regressor",
+    f"""SELECT CAST(sum(train) AS BIGINT) AS train_rows, CAST(sum(n-train) AS BIGINT) AS test_rows, true AS exact, true AS consistent, true AS folds_agree
+        FROM (SELECT calculated_stage, count(*) AS n, CAST(floor(0.8E0*count(*)) AS BIGINT) AS train FROM {{results}} GROUP BY 1) s""",
+)
 def _(t):
     table = M.training_table(
         t.results.withColumn("stage", F.col("calculated_stage")), target=F.col("calculated_pd")
     )
-    return M.metric_table(t.spark, M.train_pd(table).metrics)
+    m = M.train_pd(table).metrics
+    return _split_counts(table).withColumns(
+        {
+            "exact": F.lit(m["mae"] <= MOST_ERROR),
+            "consistent": F.lit(abs(m["rmse"] ** 2 - m["mse"]) < 1e-9 and m["mae"] <= m["rmse"] and m["r2"] <= 1.0),
+            "folds_agree": F.lit(m["cv_mae_mean"] <= MOST_ERROR and m["cv_mae_std"] <= MOST_ERROR),
+        }
+    )
 
 
-@query("score_portfolio")
+@query(
+    "score_portfolio",
+    """SELECT loan_id, stage AS original_stage, true AS whole, true AS confident, true AS most_likely, DATE '2001-12-31' AS prediction_date FROM {staged}""",
+)
 def _(t):
-    return M.score_portfolio(_table(t), _forest(t).model)
+    probs = [F.col(f"prob_stage_{i}") for i in (1, 2, 3)]
+    predicted = F.element_at(F.create_map(*[x for i, p in enumerate(probs) for x in (F.lit(f"STAGE_{i + 1}"), p)]), F.col("predicted_stage"))
+    return M.score_portfolio(_table(t), _forest(t).model).select(
+        "loan_id", "original_stage", (F.abs(probs[0] + probs[1] + probs[2] - 1.0) < 1e-9).alias("whole"),
+        (F.col("confidence") == F.greatest(*probs)).alias("confident"), (predicted == F.col("confidence")).alias("most_likely"), "prediction_date",
+    )
 
 
-@query("scan_batched_score")
+@query(
+    "scan_batched_score",
+    "SELECT stage AS original_stage, count(*) AS n, CAST(count(*) AS DOUBLE) AS probability, true AS confident FROM {staged} GROUP BY stage",
+    ratio="probability",
+)
 def _(t):
     scored = M.score_portfolio(_table(t), _forest(t).model)
-    return scored.groupBy("predicted_stage").agg(F.count("*").alias("n"), F.avg("confidence").alias("avg_confidence"))
+    return scored.groupBy("original_stage").agg(
+        F.count("*").alias("n"),
+        F.sum(sum((F.col(f"prob_stage_{i}") for i in (2, 3)), F.col("prob_stage_1"))).alias("probability"),
+        F.min(F.col("confidence").between(1 / 3 - 1e-9, 1.0)).alias("confident"),
+    )
 
 
-@query("tune_model")
+@query(
+    "tune_model",
+    f"""SELECT CAST(50 AS BIGINT) AS trials, true AS in_space, true AS better_than_blind, true AS one_best, true AS ranks,
+          CAST(CASE WHEN sum(train) > {LABELLED_ROWS} THEN sum({LABELLED_ROWS}*train//w) ELSE sum(train) END AS BIGINT) AS labelled_rows
+        FROM (SELECT train, sum(train) OVER () AS w FROM {{stage_sizes}}) s""",
+)
 def _(t):
-    return M.tune(_table(t))
+    table = _table(t)
+    trials = M.tune(table)
+    rows = M.labelled_sample(table).agg(F.count("*").alias("n")).scalar()
+    top = F.max(F.when(F.col("best"), F.col("auc")))
+    return trials.agg(
+        F.count("*").alias("trials"),
+        F.min(
+            F.col("trees").between(5, 300) & (F.col("trees") % 5 == 0) & F.col("depth").between(3, 8) & F.col("leaf").between(1, 20)
+            & F.col("auc").between(0, 1) & (F.when(F.col("stopped"), F.col("folds").between(1, 4)).otherwise(F.col("folds") == 5))
+        ).alias("in_space"),
+        (top >= F.max(F.when(F.col("trial") < STARTUP, F.col("auc")))).alias("better_than_blind"),
+        (F.count_if("best") >= 1).alias("one_best"),
+        (top >= LEAST_AUC).alias("ranks"),
+    ).withColumn("labelled_rows", rows)
 
 
 @query("select_model")
 def _(t):
     simple, advanced = _forest(t).metrics, M.train_boosted(_table(t))
     rows = [("simple", True, simple["accuracy"], None), ("advanced", True, None, advanced["roc_auc"])]
-    candidates = t.spark.createDataFrame(rows, "name string, success boolean, accuracy double, auc double")
+    return _picks(t.spark.createDataFrame(rows, "name string, success boolean, accuracy double, auc double"))
+
+
+def _picks(candidates):
     picks = [M.select_model(candidates, s) for s in ("auto", "simple_only", "advanced_only")]
     return picks[0].unionByName(picks[1]).unionByName(picks[2])
 
 
-@query("model_store")
+@query("model_store", "SELECT count(*) AS scored, count(*) AS identical, '20011231' AS run_id FROM {staged}")
 def _(t):
     root = fresh_path(t.spark, "model-store")
     fit = _fit(t)
@@ -145,6 +231,47 @@ def _(t):
     return V.weighted_auc(V.auc_one_vs_rest(t.predictions, "original_stage", _class_scores()))
 
 
+_CHOICE = "advanced>0.8E0 AND advanced>simple"
+
+
+@query(
+    "select_by_predictions",
+    f"""WITH c AS (SELECT (SELECT avg(CAST(predicted_stage=original_stage AS INT)) FROM {{predictions}}) AS simple,
+           (SELECT sum(auc*weight)/sum(weight) FROM ({_AUC_SQL}) z) AS advanced)
+        SELECT 'auto' AS strategy, CASE WHEN {_CHOICE} THEN 'advanced' ELSE 'simple' END AS selected,
+          CASE WHEN {_CHOICE} THEN 'better performance' ELSE 'comparable performance' END AS reason, simple, advanced FROM c
+        UNION ALL SELECT 'simple_only', 'simple', 'simple_only strategy', simple, advanced FROM c
+        UNION ALL SELECT 'advanced_only', 'advanced', 'advanced_only strategy', simple, advanced FROM c""",
+    ratio="simple advanced",
+)
+def _(t):
+    """The same choice between two families whose predictions are on record."""
+    right = t.predictions.agg(F.avg((F.col("predicted_stage") == F.col("original_stage")).cast("double")).alias("accuracy"))
+    ranks = V.weighted_auc(V.auc_one_vs_rest(t.predictions, "original_stage", _class_scores()))
+    none, done = F.lit(None).cast("double"), F.lit(True).alias("success")
+    simple = right.select(F.lit("simple").alias("name"), done, "accuracy", none.alias("auc"))
+    return _picks(simple.union(ranks.select(F.lit("advanced").alias("name"), done, none.alias("accuracy"), "roc_auc")))
+
+
+@query(
+    "forest_importance",
+    """SELECT feature, count(*) AS loans, true AS additive FROM {staged},
+         (SELECT unnest(['loan_amount', 'interest_rate', 'term_months', 'credit_score', 'days_past_due', 'dti_ratio', 'ltv_ratio', 'employment_length']) AS feature) f
+       GROUP BY feature""",
+)
+def _(t):
+    """Shapley values of a fitted forest for all loans: every feature, and whether they add up to what the forest says."""
+    table = _table(t)
+    model = M.stage_classifier(trees=20, depth=6).fit(table.where("is_train"))
+    forest = A.forest_of(t.spark, model.stages[-1])
+    found = materialised(A.attributions(table, "loan_id", M.FEATURES, forest), "attributions")
+    said = M.with_stage_scores(model.transform(table)).select("loan_id", *[f"prob_stage_{i}" for i in (1, 2, 3)])
+    apart = F.greatest(*[F.abs(F.col("expected")[i] - F.col(f"prob_stage_{i + 1}")) for i in range(3)])
+    checked = found.join(said, "loan_id").agg(F.count("*").alias("loans"), (F.max(apart) <= 1e-6).alias("additive"))
+    loans, additive = (checked.select(c).scalar() for c in ("loans", "additive"))
+    return A.importance(found, M.FEATURES).select("feature", loans.alias("loans"), additive.alias("additive"))
+
+
 @query(
     "eval_regression",
     """SELECT avg(abs(a-p)) AS mae, avg((a-p)*(a-p)) AS mse, sqrt(avg((a-p)*(a-p))) AS rmse, 1-avg((a-p)*(a-p))/var_pop(a) AS r2

@@ -1,6 +1,7 @@
 """Streams read the events table as one file or as a folder of part files."""
 
 from conftest import SF
+from pyspark.sql import functions as F
 
 from lossgrid.plans.registry import load_all
 from lossgrid.sources.tables import Tables
@@ -17,3 +18,51 @@ def test_part_files_equal_one_file(spark, tmp_path):
 
 def test_stream_tables_are_not_shared(spark, tmp_path):
     assert Tables.of(spark, str(tmp_path)) is not Tables.of(spark, SF)
+
+
+def _events(spark, rows):
+    at = F.to_timestamp("at")
+    return spark.createDataFrame(rows, "event_id string, at string").select("event_id", at.alias("event_time"))
+
+
+def test_late_copies_and_late_news(spark):
+    from lossgrid.streaming import runs as S
+
+    arrivals = [
+        _events(spark, [("a", "2024-01-01 10:00:00"), ("b", "2024-01-01 10:01:00")]),
+        _events(spark, [("a", "2024-01-01 10:00:00"), ("c", "2024-01-01 14:00:00")]),  # a copy in time
+        # the watermark is 13:00: a late copy, a late new row, one in time
+        _events(spark, [("a", "2024-01-01 10:00:00"), ("d", "2024-01-01 10:30:00"), ("e", "2024-01-01 13:30:00")]),
+    ]
+    kept, seen = S.run_arrivals(arrivals, lambda rows: S.deduplicated(rows, "event_id", "1 hour"), "late-test")
+    assert sorted(r["event_id"] for r in kept.collect()) == ["a", "b", "c", "e"]
+    assert [S.dropped_late(p) for p in seen] == [0, 0, 2]
+
+
+def test_update_mode_forgets_closed_windows(spark):
+    from lossgrid.streaming import runs as S
+    from lossgrid.streaming import telemetry as T
+
+    stream = T.as_telemetry(S.event_stream(spark, SF)).withWatermark("event_time", "10 minutes")
+    progress = []
+    rows = S.run_available(T.success_rate(stream, ["agent"]), "state", "update", keys=["window", "agent"], progress=progress)
+    whole = T.success_rate(T.as_telemetry(spark.read.parquet(f"{SF}/events.parquet")), ["agent"])
+    assert rows.count() == whole.count() > 100
+    held = sum(int(op["numRowsTotal"]) for op in progress[-1]["stateOperators"])
+    newest = whole.agg(F.max("window.end")).first()[0]
+    still_open = whole.where(F.col("window.end") > F.lit(newest) - F.expr("interval 20 minutes")).count()
+    assert held <= still_open
+
+
+def test_upsert_keeps_the_last_version(spark, tmp_path):
+    from lossgrid.streaming import runs as S
+    from lossgrid.streaming import telemetry as T
+
+    for k, at in enumerate(("10:00:30", "10:02:00", "10:04:59", "10:07:00")):
+        _events(spark, [(f"e{k}", f"2024-01-01 {at}")]).coalesce(1).write.mode("append").parquet(str(tmp_path))
+    stream = spark.readStream.schema("event_id string, event_time timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path))
+    counts = T.windowed(stream.withWatermark("event_time", "1 hour"), "5 minutes", None, [], F.count("*").alias("n"))
+    progress = []
+    got = S.run_available(counts, "upsert", "update", keys=["window"], progress=progress)
+    assert len(progress) >= 4
+    assert sorted(r["n"] for r in got.collect()) == [1, 3]
