@@ -22,7 +22,8 @@ from lossgrid.config import DEFAULTS, EclConfig
 from lossgrid.functions.rules import stage_label, stage_number
 from lossgrid.operators.evaluation import auc_one_vs_rest, class_report, weighted_auc
 from lossgrid.operators.sampling import split_stratified
-from lossgrid.operators.tuning import LABELLED_ROWS, Whole, labelled_sample, search
+from lossgrid.operators.tuning import LABELLED_ROWS, Sample, Whole, labelled_sample, search
+from lossgrid.sources.scratch import materialised
 
 FEATURES = (
     "loan_amount", "interest_rate", "term_months", "credit_score", "days_past_due", "dti_ratio", "ltv_ratio",
@@ -181,22 +182,19 @@ def tune(
 ) -> DataFrame:
     """Forest parameters by mean one-vs-rest AUC over stratified folds; one row per trial.
 
-    ``labelled_rows`` bounds the training rows of the search.  ``folds`` in the result tells after how many of them a
+    ``labelled_rows`` bounds the training rows of the search; the result has how many there were.  ``folds`` in it tells after how many of them a
     trial was stopped or complete; the best trial is a complete one.
     """
     space = {"trees": Whole(5, max_trees, 5), "depth": Whole(3, 8), "leaf": Whole(1, 20)}
-    sample = _assembler(features).transform(labelled_sample(table, labelled_rows, folds))
-    sample = sample.select("label", "features", "fold").coalesce(1).persist()
-    try:
-        trials = search(sample, space, draws, folds, seed)
-    finally:
-        sample.unpersist()
+    narrow = materialised(table.select("loan_id", "stage", "is_train", "label", *features), "tuning")
+    sample = Sample.of(labelled_sample(narrow, labelled_rows, folds), features)
+    trials = search(table.sparkSession, sample, space, draws, folds, seed)
     top = max(t.mean for t in trials if not t.stopped)
     rows = [
-        (k, *(t.params[n] for n in space), len(t.scores), t.stopped, t.mean, not t.stopped and t.mean == top)
+        (k, *(t.params[x] for x in space), len(t.scores), len(sample.y), t.stopped, t.mean, not t.stopped and t.mean == top)
         for k, t in enumerate(trials)
     ]
-    names = "trial int, trees int, depth int, leaf int, folds int, stopped boolean, auc double, best boolean"
+    names = "trial int, trees int, depth int, leaf int, folds int, labelled_rows long, stopped boolean, auc double, best boolean"
     return table.sparkSession.createDataFrame(rows, names)
 
 

@@ -1,17 +1,19 @@
-"""Hyper-parameter search: a tree-structured Parzen sampler, stratified folds and early stop of poor trials."""
+"""Hyper-parameter search: a tree-structured Parzen sampler, stratified folds and early stop of poor trials.
+
+The search works on a bounded sample of labelled rows, so a forest of a trial is one task's work and many trials run side
+by side; the model with the parameters found is then fitted by Spark ML on all rows.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from statistics import NormalDist, median
 
 import numpy as np
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lossgrid.operators.sampling import loan_hash, stratified_sample
@@ -120,37 +122,116 @@ def mean_auc(actual: np.ndarray, scores: np.ndarray) -> float:
     return float(np.mean(found)) if found else math.nan
 
 
-def _score(sample: DataFrame, params: Mapping[str, int], fold: int, seed: int) -> float:
-    """AUC of a forest on one fold; a fold is a fixed share of the bounded sample."""
-    forest = RandomForestClassifier(
-        numTrees=params["trees"], maxDepth=params["depth"], minInstancesPerNode=params["leaf"], seed=seed
-    )
-    model = forest.fit(sample.where(F.col("fold") != fold))
-    scored = model.transform(sample.where(F.col("fold") == fold))
-    rows = scored.select("label", vector_to_array("probability").alias("p")).toPandas()
-    return mean_auc(rows["label"].to_numpy(), np.array(rows["p"].tolist()))
+@dataclass(frozen=True)
+class Sample:
+    """The labelled rows as arrays: features, class numbers and folds; at most the bound of ``labelled_sample``."""
+
+    x: np.ndarray
+    y: np.ndarray
+    fold: np.ndarray
+
+    @classmethod
+    def of(cls, sample: DataFrame, features: Sequence[str]) -> Sample:
+        rows = sample.select(*features, "label", "fold").toPandas()
+        return cls(rows[list(features)].to_numpy(dtype=float), rows["label"].to_numpy(dtype=np.int64), rows["fold"].to_numpy())
+
+
+#: Bins of a feature's values, as many as Spark's trees have.
+BINS = 32
+
+
+def forest_scores(
+    x: np.ndarray, y: np.ndarray, unseen: np.ndarray, classes: int, trees: int, depth: int, leaf: int, seed: int
+) -> np.ndarray:
+    """Class probabilities of ``unseen`` by a random forest grown on the rows: bootstrap, square root of the features at
+    each node, Gini splits that leave ``leaf`` rows on both sides.  All nodes of a level are split at once."""
+    rng = np.random.default_rng(seed)
+    edges = [np.unique(np.quantile(c, np.arange(1, BINS) / BINS)) for c in x.T]
+    of, to = (np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, v.T)], axis=1) for v in (x, unseen))
+    some = math.ceil(math.sqrt(x.shape[1]))
+    out = np.zeros((len(unseen), classes))
+    for _ in range(trees):
+        weight = rng.poisson(1.0, len(y)).astype(float)
+        rows = np.flatnonzero(weight)
+        node, weight, label = np.zeros(len(rows), np.int64), weight[rows], y[rows]
+        asked, place, nodes = np.arange(len(unseen)), np.zeros(len(unseen), np.int64), 1
+        for level in range(depth + 1):
+            if not len(rows):
+                out[asked] += 1.0 / classes
+                break
+            counts = np.bincount(node * classes + label, weight, nodes * classes).reshape(nodes, classes)
+            whole = counts.sum(axis=1)
+            if level == depth:
+                out[asked] += counts[place] / whole[place, None]
+                break
+            chosen = rng.random((nodes, x.shape[1])).argsort(axis=1)[:, :some]
+            bins = of[rows[:, None], chosen[node]]
+            at = ((node[:, None] * some + np.arange(some)) * BINS + bins) * classes + label[:, None]
+            held = np.bincount(at.ravel(), np.repeat(weight, some), nodes * some * BINS * classes)
+            left = held.reshape(nodes, some, BINS, classes).cumsum(axis=2)[:, :, :-1]
+            right = counts[:, None, None] - left
+            n_left, n_right = left.sum(axis=3), right.sum(axis=3)
+            pure = (left**2).sum(axis=3) / np.maximum(n_left, 1) + (right**2).sum(axis=3) / np.maximum(n_right, 1)
+            pure[(n_left < leaf) | (n_right < leaf)] = -1.0
+            best = pure.reshape(nodes, -1).argmax(axis=1)
+            gain = pure.reshape(nodes, -1)[np.arange(nodes), best] - (counts**2).sum(axis=1) / whole
+            splits = gain > 1e-9
+            feature, cut = chosen[np.arange(nodes), best // (BINS - 1)], best % (BINS - 1)
+            done = ~splits[place]
+            out[asked[done]] += counts[place[done]] / whole[place[done], None]
+            child = np.cumsum(splits) - 1  # a node's pair of children in the next level
+            on = splits[node]
+            rows, node, weight, label = rows[on], node[on], weight[on], label[on]
+            node = 2 * child[node] + (of[rows, feature[node]] > cut[node])
+            asked, place = asked[~done], place[~done]
+            place = 2 * child[place] + (to[asked, feature[place]] > cut[place])
+            nodes = 2 * int(splits.sum())
+            if not len(asked):
+                break
+    return out / trees
+
+
+def _scores(spark: SparkSession, sample: Sample, params: Sequence[Mapping[str, int]], fold: int, seed: int) -> list[float]:
+    """AUC on one fold of a forest for each of ``params``: a task each."""
+    classes = int(sample.y.max()) + 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = sample.fold == fold
+        for batch in batches:
+            found = []
+            for row in batch.itertuples():
+                p = forest_scores(
+                    sample.x[~held], sample.y[~held], sample.x[held], classes, row.trees, row.depth, row.leaf, seed + row.trial
+                )
+                found.append((row.trial, mean_auc(sample.y[held], p)))
+            yield pd.DataFrame(found, columns=["trial", "auc"])
+
+    rows = [(k, p["trees"], p["depth"], p["leaf"]) for k, p in enumerate(params)]
+    asked = spark.createDataFrame(rows, "trial int, trees int, depth int, leaf int")
+    scored = asked.repartitionByRange(len(rows), "trial").mapInPandas(run, "trial int, auc double")
+    return [r["auc"] for r in sorted(scored.collect())]
 
 
 def search(
-    sample: DataFrame, space: Mapping[str, Whole], draws: int = 50, folds: int = 5, seed: int = 42, at_a_time: int = AT_A_TIME
+    spark: SparkSession, sample: Sample, space: Mapping[str, Whole], draws: int = 50, folds: int = 5, seed: int = 42, at_a_time: int = AT_A_TIME
 ) -> list[Trial]:
     """All trials in order.  A fold is run for some trials at a time; whoever is below the median of the complete
     trials after as many folds is stopped."""
     sampler, past = ParzenSampler(space, seed), []
-    with ThreadPoolExecutor(at_a_time) as pool:
-        while len(past) < draws:
-            unguided = sampler.startup - len(past)
-            size = min(at_a_time, draws - len(past), unguided if unguided > 0 else draws)
-            running = batch = [Trial(sampler.suggest(past)) for _ in range(size)]
-            done = [t for t in past if not t.stopped]
-            for fold in range(folds):
-                scores = pool.map(lambda t: _score(sample, t.params, fold, seed), running)  # noqa: B023
-                for trial, score in zip(running, scores):
-                    trial.scores.append(score)
-                if len(done) >= BEFORE_STOPPING and fold + 1 < folds:
-                    bar = median(sum(t.scores[: fold + 1]) / (fold + 1) for t in done)
-                    for trial in running:
-                        trial.stopped = trial.mean < bar
-                    running = [t for t in running if not t.stopped]
-            past += batch
+    while len(past) < draws:
+        unguided = sampler.startup - len(past)
+        size = min(at_a_time, draws - len(past), unguided if unguided > 0 else draws)
+        running = batch = [Trial(sampler.suggest(past)) for _ in range(size)]
+        done = [t for t in past if not t.stopped]
+        for fold in range(folds):
+            if not running:
+                break
+            for trial, score in zip(running, _scores(spark, sample, [t.params for t in running], fold, seed)):
+                trial.scores.append(score)
+            if len(done) >= BEFORE_STOPPING and fold + 1 < folds:
+                bar = median(sum(t.scores[: fold + 1]) / (fold + 1) for t in done)
+                for trial in running:
+                    trial.stopped = trial.mean < bar
+                running = [t for t in running if not t.stopped]
+        past += batch
     return past

@@ -134,9 +134,7 @@ def _(t):
         FROM (SELECT train, sum(train) OVER () AS w FROM {{stage_sizes}}) s""",
 )
 def _(t):
-    table = _table(t)
-    trials = M.tune(table)
-    rows = M.labelled_sample(table).agg(F.count("*").alias("n")).scalar()
+    trials = M.tune(_table(t))
     top = F.max(F.when(F.col("best"), F.col("auc")))
     return trials.agg(
         F.count("*").alias("trials"),
@@ -147,7 +145,8 @@ def _(t):
         (top >= F.max(F.when(F.col("trial") < STARTUP, F.col("auc")))).alias("better_than_blind"),
         (F.count_if("best") >= 1).alias("one_best"),
         (top >= LEAST_AUC).alias("ranks"),
-    ).withColumn("labelled_rows", rows)
+        F.max("labelled_rows").alias("labelled_rows"),
+    )
 
 
 @query("select_model")

@@ -11,8 +11,8 @@ SPACE = {"trees": T.Whole(5, 300, 5), "depth": T.Whole(3, 8), "leaf": T.Whole(1,
 
 
 def run(monkeypatch, score, draws=50):
-    monkeypatch.setattr(T, "_score", lambda sample, params, fold, seed: score(params, fold))
-    return T.search(None, SPACE, draws=draws)
+    monkeypatch.setattr(T, "_scores", lambda spark, sample, params, fold, seed: [score(p, fold) for p in params])
+    return T.search(None, None, SPACE, draws=draws)
 
 
 def test_sampler_goes_where_trials_are_good(monkeypatch):
@@ -70,3 +70,18 @@ def test_small_search_with_forests(tables):
     rows = M.tune(M.training_table(tables.staged), draws=4, folds=2, max_trees=10, labelled_rows=200).collect()
     assert len(rows) == 4 and sum(r["best"] for r in rows) >= 1
     assert all(0.5 < r["auc"] <= 1.0 and r["folds"] == 2 for r in rows)
+
+
+def test_forest_learns_and_obeys_its_limits():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 5))
+    y = (x[:, 0] > 0.3).astype(int) + ((x[:, 1] > 0) & (x[:, 0] > 0.3)).astype(int)
+    p = T.forest_scores(x[:600], y[:600], x[600:], 3, trees=40, depth=6, leaf=3, seed=1)
+    assert np.allclose(p.sum(axis=1), 1.0)
+    assert (p.argmax(axis=1) == y[600:]).mean() > 0.93
+    stump = T.forest_scores(x[:600], y[:600], x[600:], 3, trees=1, depth=1, leaf=3, seed=1)
+    assert len(np.unique(stump.round(9), axis=0)) <= 2
+    root = T.forest_scores(x[:600], y[:600], x[600:], 3, trees=5, depth=6, leaf=400, seed=1)
+    assert len(np.unique(root.round(9), axis=0)) == 1
+    again = T.forest_scores(x[:600], y[:600], x[600:], 3, trees=40, depth=6, leaf=3, seed=1)
+    assert (p == again).all()
