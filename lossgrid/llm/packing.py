@@ -12,12 +12,12 @@ ones left.  Nothing is shuffled: each sequence is filled by one task, and a lost
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+import struct
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,18 +31,25 @@ OPEN, WAITING = 1024, 1000
 #: open sequences stay part empty; larger partitions are left as they are.
 CHARS_PER_TASK = 16_000_000
 
-#: Pre-tokens of the byte-level vocabulary.
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Letters, numbers and spaces below U+0250 and of general punctuation, whose classes are the same in every version of
+#: Unicode; a text with characters outside these blocks is handed to the tokenizer whole.
+_LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t\n\x0b\x0c\r \xa0"
+_UNSETTLED = re.compile("[^\\t\\n\\x0b\\x0c\\r\\x20-\\x7e\\xa0-ɏ‐-‧‰-⁞]")
 
-#: Characters outside the ranges whose classes are the same in every version of Unicode; a text with any of them is
-#: handed to the tokenizer whole.
-_UNSETTLED = regex.compile("[^\\t\\n\\x0b\\x0c\\r\\x20-\\x7e\\xa0-ɏ‐-‧‰-⁞]")
+#: Pre-tokens of the byte-level vocabulary in such texts.
+_SPLIT = re.compile(
+    f" ?[{_LETTER}]+| ?[{_NUMBER}]+|'(?:[stmd]|re|ve|ll)| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
+    f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+)
 
-#: Pre-tokens remembered by a worker.
-MEMORY = 400_000
+#: Pre-tokens that a worker remembers, twice: the latest and the ones before.
+MEMORY = 300_000
 
+#: Characters of texts that are encoded at a time.
+BLOCK_CHARS = 1_000_000
 
-class Encoder(dict):
+
+class Encoder:
     """Token ids of whole texts as little-endian 32-bit integers; ids of pre-tokens are remembered.
 
     A vocabulary of this kind merges within pre-tokens only, so a text's ids are those of its pre-tokens in a row.
@@ -53,23 +60,50 @@ class Encoder(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMORY:
-            self.clear()
-        value = self[piece] = self.whole(piece)
-        return value
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if _UNSETTLED.search(text):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, _SPLIT.findall(text)))
+        self.model = self.tokenizer.model
+        # the characters that stand for bytes in the model: printable ones themselves, others from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.letters = {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """The same from the tokenizer itself."""
+        coded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in coded]
+
+    def piece(self, piece: str) -> bytes:
+        """The same for one pre-token, straight from the tokenizer's model."""
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [None if _UNSETTLED.search(t) else _SPLIT.findall(t) for t in texts]
+        found = [pieces and list(map(self.known.get, pieces)) for pieces in split]
+        missing: dict[str, None] = {}
+        for pieces, ids in zip(split, found):
+            if ids and None in ids:
+                missing.update((p, None) for p, i in zip(pieces, ids) if i is None)
+        learnt = self._learn(missing)
+        out = []
+        for text, pieces, ids in zip(texts, split, found):
+            if pieces is None:
+                out += self.whole([text])
+            else:
+                out.append(b"".join(i or learnt[p] for p, i in zip(pieces, ids)) if None in ids else b"".join(ids))
+        return out
+
+    def _learn(self, missing: Iterable[str]) -> dict[str, bytes]:
+        learnt = {p: self.older[p] for p in missing if p in self.older}
+        learnt.update((p, self.piece(p)) for p in missing if p not in learnt)
+        if len(self.known) + len(learnt) > MEMORY:
+            self.known, self.older = {}, self.known
+        self.known.update(learnt)
+        return learnt
 
 
 @lru_cache(maxsize=2)
@@ -120,10 +154,25 @@ def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
     return ([(0, first)] if first else []) + [(at, capacity) for at in range(first, tokens, capacity)]
 
 
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[int], list[str]]]:
+    """Ids and texts of some documents at a time."""
+    for batch in batches:
+        docs, texts, chars = [], [], 0
+        for doc, text in zip(batch["doc_id"].tolist(), batch["text"]):
+            docs.append(doc)
+            texts.append(text)
+            chars += len(text)
+            if chars >= BLOCK_CHARS:
+                yield docs, texts
+                docs, texts, chars = [], [], 0
+        if docs:
+            yield docs, texts
+
+
 def _packed(batches: Iterator[pd.DataFrame], path: str, end_id: int, capacity: int, places: int) -> Iterator[pd.DataFrame]:
     coder = encoder(path)
     bins = OpenSequences(capacity, places, TaskContext.get().partitionId() << 33)
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = struct.pack("<I", end_id)
     waiting: list[tuple] = []
 
     def rows(pieces: list[tuple]) -> pd.DataFrame:
@@ -132,9 +181,9 @@ def _packed(batches: Iterator[pd.DataFrame], path: str, end_id: int, capacity: i
             out.append((doc, piece, start, length, ids, *bins.place(length)))
         return pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])
 
-    for batch in batches:
-        for doc, text in zip(batch["doc_id"].tolist(), batch["text"]):
-            ids = coder.encode(text) + end
+    for docs, texts in _blocks(batches):
+        for doc, ids in zip(docs, coder.encode(texts)):
+            ids += end
             for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                 waiting.append((length, ids[4 * start : 4 * (start + length)], doc, piece, start))
                 if len(waiting) >= WAITING:

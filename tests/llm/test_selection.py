@@ -191,7 +191,17 @@ def test_bitset_places_as_the_plain_rule(lengths, places):
 @given(st.text(max_size=60))
 def test_remembered_ids_are_the_tokenizers(text):
     coder = packing.encoder(tokenizer_path())
-    assert coder.encode(text) == coder.whole(text)
+    assert coder.encode([text, "a b", text]) == coder.whole([text, "a b", text])
+
+
+def test_ids_of_the_given_documents(monkeypatch):
+    import duckdb
+
+    monkeypatch.setattr(packing, "MEMORY", 2000)
+    texts = [t or "" for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    coder = packing.Encoder(tokenizer_path())
+    for k in range(0, len(texts), 90):
+        assert coder.encode(texts[k : k + 90]) == coder.whole(texts[k : k + 90])
 
 
 def test_every_token_has_its_place(spark):
@@ -200,7 +210,7 @@ def test_every_token_has_its_place(spark):
     frame = ship_package(spark).createDataFrame([(*d, 1, b"") for d in docs], "doc_id long, text string, start int, ids binary")
     rows = packing.pack(frame.repartition(3), path, capacity=512).collect()
     coder = packing.Encoder(path)
-    want = Counter((d, coder.whole(t or "") + b"\0\0\0\0") for d, t in docs)
+    want = Counter((d, coder.whole([t or ""])[0] + b"\0\0\0\0") for d, t in docs)
     # documents from pieces: the pieces of copies are equal, so they are counted as often as the document
     pieces = Counter((r["doc_id"], r["piece"], r["start"], r["length"], bytes(r["ids"])) for r in rows)
     expected = Counter()
