@@ -105,9 +105,9 @@ def exact_quantiles(
     else:  # a single row: a scalar, because a join on the constant column name would have no key left
         row = sketch.select(F.struct("n", "_edges").alias("s")).scalar()
         bracketed = values.withColumns({"_s": row}).select(*group, "value", "_s.n", "_s._edges")
+    kept = bracketed.select(*group, "n", "_edges", F.when(inside, v).otherwise(floor_edge).alias("_kept"))
     counts = (
-        bracketed
-        .select(*group, "n", "_edges", F.when(inside, v).otherwise(floor_edge).alias("value"))
+        computed_once(kept, "value", F.col("_kept"))  # the bin asks for the value many times
         .select(*group, "n", "value", _bin(v, brackets).alias("_bin"))
         .groupBy(*group, "_bin", "value")
         .agg(F.first("n").alias("n"), F.count("*").alias("c"))
