@@ -205,18 +205,6 @@ DATETIME_KEYWORDS = (
     "timestamp", "maturity", "effective", "expiry", "due",
 )
 
-# task -> SLA minutes
-SLA_MINUTES = {
-    "data_generation": 15,
-    "data_validation": 10,
-    "rules_processing": 45,
-    "ml_training": 30,
-    "report_generation": 10,
-    "data_upload": 20,
-    "warehouse_load": 15,
-    "total_pipeline": 150,
-}
-
 RETENTION_DAYS = {"raw": 30, "processed": 90, "audit": 2555}
 
 # ---------------------------------------------------------------------------

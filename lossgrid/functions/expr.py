@@ -104,8 +104,7 @@ def avg_if(value: Column, condition: Column) -> Column:
     return F.avg(F.when(condition, value))
 
 
-def bins(value: Column, low: float, high: float, n: int) -> Column:
-    """1-based histogram bin of equal width; the top edge belongs to the last bin."""
-    width = (high - low) / n
-    raw = F.floor((value - F.lit(float(low))) / F.lit(width)).cast("int") + 1
-    return F.least(F.lit(n), F.greatest(F.lit(1), raw))
+def bins(value: Column, low: Column, high: Column, n: int) -> Column:
+    """1-based histogram bin of equal width; the top edge belongs to the last bin, and one value alone to the first."""
+    raw = F.floor(F.try_divide(value - low, (high - low) / n)).cast("int") + 1
+    return F.when(value.isNotNull(), F.least(F.lit(n), F.greatest(F.lit(1), F.coalesce(raw, F.lit(1)))))

@@ -533,6 +533,19 @@ def tier_distribution(df: DataFrame) -> Tier:
     return Tier("distribution_validation", 80.0, aggs, rows, after={"t3_median": median})
 
 
+def distribution_details(df: DataFrame) -> DataFrame:
+    """The figures behind the distribution tier: score, amount, arrears and rate."""
+    picked = quantile_columns(df, {"amount_median": ("loan_amount", 0.5), "amount_p95": ("loan_amount", 0.95)})
+    both = picked.select(F.struct("amount_median", "amount_p95").alias("q")).scalar()
+    return df.agg(
+        F.avg("credit_score").alias("score_mean"),
+        F.stddev("credit_score").alias("score_std"),
+        _mean_pct(F.col("days_past_due") == 0).alias("current_pct"),
+        F.avg("interest_rate").alias("rate_mean"),
+        F.count("*").alias("n"),
+    ).select("*", both["amount_median"].alias("amount_median"), both["amount_p95"].alias("amount_p95"))
+
+
 def tier_correlation(df: DataFrame) -> Tier:
     cols = [c for c in NUMERIC_COLUMNS if c in df.columns]
     wanted = list(dict.fromkeys([*cols, *(c for a, b, _, _ in EXPECTED_CORRELATIONS for c in (a, b))]))

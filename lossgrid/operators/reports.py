@@ -3,7 +3,8 @@ a hot group arrives at its reducer as one partial row per task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -292,28 +293,32 @@ def monthly_payment_pivot(payments: DataFrame) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, column: str, low: float, high: float, n: int, label: str | None = None) -> DataFrame:
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(bins(F.col(column).cast("double"), low, high, n).alias("bin"))
-        .agg(F.count("*").alias("n"))
-        .select(F.lit(label or column).alias("measure"), "bin", "n")
-    )
-
+def report_histograms(results: DataFrame, specs: Mapping[str, int]) -> DataFrame:
+    """Histograms of several columns, each over its own range from the least to the greatest value.
 
-def report_histograms(results: DataFrame, specs: Sequence[tuple[str, float, float, int]]) -> DataFrame:
-    """Several histograms in one scan: each row emits one (measure, bin) per spec."""
+    All ranges come from one aggregate, all counts from one more scan; no value lies outside the bins.
+    """
+    edges = [f(F.col(c).cast("double")).alias(f"{name}_{c}") for c in specs for name, f in (("low", F.min), ("high", F.max))]
+    ranges = results.agg(F.struct(*edges).alias("ranges")).scalar()
+    low, high = ({c: ranges[f"{name}_{c}"] for c in specs} for name in ("low", "high"))
     entries = F.array(
         *[
-            F.struct(F.lit(c).alias("measure"), bins(F.col(c).cast("double"), lo, hi, n).alias("bin"))
-            for c, lo, hi, n in specs
+            F.struct(F.lit(c).alias("measure"), bins(F.col(c).cast("double"), low[c], high[c], n).alias("bin"))
+            for c, n in specs.items()
         ]
     )
+    start = reduce(
+        lambda chain, c: chain.when(F.col("measure") == c, low[c] + (F.col("bin") - 1) * ((high[c] - low[c]) / specs[c])),
+        specs,
+        F,
+    )
     return (
-        results.select(F.explode(entries).alias("e"))
+        results.select(*specs)
+        .select(F.explode(entries).alias("e"))
         .where(F.col("e.bin").isNotNull())
         .groupBy(F.col("e.measure").alias("measure"), F.col("e.bin").alias("bin"))
         .agg(F.count("*").alias("n"))
+        .select("measure", "bin", start.alias("bin_start"), "n")
     )
 
 
@@ -453,8 +458,3 @@ def portfolio_composition(results: DataFrame) -> DataFrame:
     return results.rollup("loan_type", "calculated_stage").agg(
         F.sum("current_balance").alias("exposure"), F.count("*").alias("loan_count")
     )
-
-
-def with_fx(results: DataFrame, rates: DataFrame, amounts: Sequence[str]) -> DataFrame:
-    joined = results.join(rates, "currency", "left")
-    return joined.withColumns({f"{a}_base": F.col(a) * F.col("rate") for a in amounts})

@@ -18,7 +18,7 @@ HASH_FACTOR = 1103515245
 
 def loan_hash(loan_id: str = "loan_id", factor: int = HASH_FACTOR) -> Column:
     """Repeatable pseudo-random key of a loan, one to one for numbers below the modulus; ties go by loan id."""
-    number = F.substring(loan_id, 2, 18).cast("long")
+    number = F.substring(loan_id, F.lit(2), F.length(loan_id)).cast("long")
     return ((number % F.lit(_MODULUS)) * F.lit(factor).cast("long")) % F.lit(_MODULUS)
 
 

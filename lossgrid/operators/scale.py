@@ -221,6 +221,13 @@ def ordered_slices(df: DataFrame, part: Sequence[str], order: Sequence[str]) ->
     )
 
 
+def with_slice_summary(rows: DataFrame, summary: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Rows with the summary of their slice and group; a null group is a group like any other."""
+    tied = summary.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate([*part, "_pid"])})
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*part, "_pid"])]
+    return rows.join(tied, same).drop(*[f"_k{i}" for i in range(len(same))])
+
+
 def distributed_row_number(
     df: DataFrame, part: Sequence[str], order: Sequence[str], name: str = "row_number"
 ) -> DataFrame:
@@ -234,7 +241,7 @@ def distributed_row_number(
     starts = rows.groupBy(*part, "_pid").agg(F.min("_pos").alias("_start"), F.count("*").alias("_c"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
-    joined = rows.join(starts, [*part, "_pid"])
+    joined = with_slice_summary(rows, starts, part)
     rn = F.col("_pos") - F.col("_start") + F.col("_before") + 1
     return joined.withColumn(name, rn.cast("long")).drop("_at", "_pid", "_pos", "_start", "_before")
 
@@ -253,7 +260,7 @@ def distributed_running_sums(
     )
     within = Window.partitionBy(*part, "_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     local = {f"_l_{n}": F.coalesce(F.sum(n).over(within), F.lit(0)) for n in names}
-    joined = rows.withColumns(local).join(totals, [*part, "_pid"])
+    joined = with_slice_summary(rows.withColumns(local), totals, part)
     return joined.withColumns({f"{n}_before": F.col(f"_l_{n}") + F.col(f"_b_{n}") for n in names}).drop(
         "_at", "_pid", "_pos", *[f"_l_{n}" for n in names], *[f"_b_{n}" for n in names]
     )
@@ -277,7 +284,7 @@ def distributed_lag(
     across = Window.partitionBy(*part).orderBy("_pid")
     tails = tails.select(*part, "_pid", "_first", F.lag("_tail").over(across).alias("_before"))
     local = {f"_l_{n}": F.lag(c).over(within) for n, c in columns.items()}
-    joined = rows.withColumns(local).join(tails, [*part, "_pid"])
+    joined = with_slice_summary(rows.withColumns(local), tails, part)
     at_start = F.col("_pos") == F.col("_first")
     picked = {n: F.when(at_start, F.col("_before")[c]).otherwise(F.col(f"_l_{n}")) for n, c in columns.items()}
     return joined.withColumns(picked).drop(

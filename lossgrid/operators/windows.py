@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossgrid.config import DEFAULTS
-from lossgrid.functions.expr import month_start, pct, share
+from lossgrid.functions.expr import pct, share
 from lossgrid.operators.reports import credit_quality_monthly
-from lossgrid.operators.scale import distributed_row_number, ordered_slices
+from lossgrid.operators.scale import distributed_row_number, ordered_slices, with_slice_summary
 
 PAYMENT_ORDER = ("payment_date", "line_no", "l_partkey", "l_suppkey")
 
@@ -97,39 +97,42 @@ def _missed() -> Column:
 
 
 def payment_streaks(payments: DataFrame) -> DataFrame:
-    """Payment number, previous status and missed payments so far, per loan cut into calendar months.
+    """Payment number, previous status and missed payments so far, per loan.
 
-    Months are summarised first; each row then needs only its month's rows and
-    the summary of the months before.
+    The rows are range-sorted by loan and place, so that a loan with any number of payments, in one month too, lies in
+    many slices; each row needs its slice's rows of the loan and a summary of the slices before.
     """
-    rows = payments.withColumn("_m", month_start(F.col("payment_date")))
-    place = F.struct(*PAYMENT_ORDER)
-    months = rows.groupBy("loan_id", "_m").agg(
+    rows = ordered_slices(payments, ["loan_id"], PAYMENT_ORDER)
+    slices = rows.groupBy("loan_id", "_pid").agg(
         F.count("*").alias("_c"),
         F.sum(_missed()).alias("_x"),
-        F.max_by("payment_status", place).alias("_last"),
+        F.min("_pos").alias("_first"),
+        F.max_by("payment_status", "_pos").alias("_last"),
     )
-    by_month = Window.partitionBy("loan_id").orderBy("_m")
-    earlier = by_month.rowsBetween(Window.unboundedPreceding, -1)
-    months = months.select(
+    by_slice = Window.partitionBy("loan_id").orderBy("_pid")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select(
         "loan_id",
-        "_m",
+        "_pid",
+        "_first",
         F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_c0"),
-        F.coalesce(F.sum("_x").over(earlier), F.lit(0)).alias("_x0"),
-        F.lag("_last").over(by_month).alias("_last0"),
+        F.sum("_x").over(earlier).alias("_x0"),
+        F.lag("_last").over(by_slice).alias("_last0"),
     )
-    w = Window.partitionBy("loan_id", "_m").orderBy(*PAYMENT_ORDER)
+    w = Window.partitionBy("loan_id", "_pid").orderBy("_pos")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns({"_before": F.lag("payment_status").over(w), "_here": F.sum(_missed()).over(upto)})
+    missed = F.coalesce("_here", F.lit(0)) + F.coalesce("_x0", F.lit(0))
     return (
-        rows.join(months, ["loan_id", "_m"])
+        with_slice_summary(local, slices, ["loan_id"])
         .withColumns(
             {
-                "payment_no": (F.row_number().over(w) + F.col("_c0")).cast("long"),
-                "previous_status": F.coalesce(F.lag("payment_status").over(w), F.col("_last0")),
-                "missed_so_far": F.sum(_missed()).over(upto) + F.col("_x0"),
+                "payment_no": (F.col("_pos") - F.col("_first") + F.col("_c0") + 1).cast("long"),
+                "previous_status": F.when(F.col("_pos") == F.col("_first"), F.col("_last0")).otherwise(F.col("_before")),
+                "missed_so_far": F.when(F.col("_here").isNotNull() | F.col("_x0").isNotNull(), missed),
             }
         )
-        .drop("_m", "_c0", "_x0", "_last0")
+        .drop("_at", "_pid", "_pos", "_first", "_c0", "_x0", "_last0", "_before", "_here")
     )
 
 

@@ -446,6 +446,19 @@ def _one_tier(key: str, name: str, build):
 _one_tier("tier_completeness", "completeness_validation", lambda df, t: Q.tier_completeness(df))
 _one_tier("tier_consistency", "consistency_validation", lambda df, t: Q.tier_consistency(df))
 _one_tier("tier_distribution", "distribution_validation", lambda df, t: Q.tier_distribution(df))
+
+
+
+@query(
+    "distribution_details",
+    """SELECT avg(credit_score) AS score_mean, stddev_samp(credit_score) AS score_std, 100.0E0*count(*) FILTER (days_past_due=0)/count(*) AS current_pct,
+         avg(interest_rate) AS rate_mean, count(*) AS n, quantile_cont(loan_amount, 0.5) AS amount_median, quantile_cont(loan_amount, 0.95) AS amount_p95 FROM {scored}""",
+    ratio="score_mean score_std current_pct rate_mean amount_median amount_p95",
+)
+def _(t):
+    return Q.distribution_details(Q.narrow_portfolio(t.results))
+
+
 _one_tier("tier_correlation", "correlation_validation", lambda df, t: Q.tier_correlation(df))
 _one_tier("tier_compliance", "compliance_validation", lambda df, t: Q.tier_compliance(df, t.transitions))
 _one_tier("tier_ml_readiness", "ml_readiness_validation", lambda df, t: Q.tier_ml_readiness(df))

@@ -349,18 +349,19 @@ def _(t):
     )
 
 
-HISTOGRAMS = (("calculated_pd", 0.0, 1.0, 50), ("credit_score", 300.0, 900.0, 30), ("calculated_ecl", 0.0, 500000.0, 50))
+HISTOGRAMS = {"calculated_pd": 50, "credit_score": 30, "calculated_ecl": 50}
 
 
 def _hist_sql() -> str:
     parts = [
-        f"SELECT '{c}' AS measure, CAST(least({n}, greatest(1, floor(({c} - {lo}E0)/({(hi - lo)}E0/{n}))+1)) AS INT) AS bin FROM {{results}}"
-        for c, lo, hi, n in HISTOGRAMS
+        f"""SELECT '{c}' AS measure, CAST(least({n}, greatest(1, coalesce(floor(({c} - lo)/nullif((hi - lo)/{n}, 0)) + 1, 1))) AS INT) AS bin, lo, (hi - lo)/{n} AS width
+        FROM {{results}}, (SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM {{results}}) r WHERE {c} IS NOT NULL"""
+        for c, n in HISTOGRAMS.items()
     ]
-    return "SELECT measure, bin, count(*) AS n FROM (" + " UNION ALL ".join(parts) + ") q WHERE bin IS NOT NULL GROUP BY measure, bin"
+    return "SELECT measure, bin, min(lo + (bin - 1) * width) AS bin_start, count(*) AS n FROM (" + " UNION ALL ".join(parts) + ") q GROUP BY measure, bin"
 
 
-@query("report_histograms", _hist_sql())
+@query("report_histograms", _hist_sql(), ratio="bin_start")
 def _(t):
     return A.report_histograms(t.results, HISTOGRAMS)
 

@@ -647,7 +647,7 @@ def _(t):
 )
 def _(t):
     number = F.substring("stage", 7, 1)
-    form = F.substring("loan_id", 2, 18).cast("long") % 4
+    form = F.expr("substring(loan_id, 2)").cast("long") % 4
     raw = (
         F.when(form == 0, F.concat(F.lit("Stage "), number))
         .when(form == 1, F.concat(F.lit("Stage"), number))
@@ -679,7 +679,7 @@ def _(t):
          CAST(year(origination_date) AS INT) AS y, CAST(quarter(origination_date) AS INT) AS q, CAST(dayofyear(origination_date) AS INT) AS doy,
          regexp_matches(loan_id, '^L[0-9]{{6}}$') AS id_ok, replace(lower(loan_type), '_', ' ') AS pretty_type,
          contains(sector, 'BUILD') AS is_building, concat_ws('|', region, sector) AS segment,
-         TRY_CAST(substr(loan_id, 2) AS INT) AS id_num, TRY_CAST(region AS DOUBLE) AS not_a_number
+         TRY_CAST(substr(loan_id, 2) AS BIGINT) AS id_num, TRY_CAST(region AS DOUBLE) AS not_a_number
        FROM {loans}""",
     ratio="log_amount",
 )
@@ -696,6 +696,6 @@ def _(t):
         F.translate(F.lower("loan_type"), "_", " ").alias("pretty_type"),
         F.col("sector").contains("BUILD").alias("is_building"),
         F.concat_ws("|", "region", "sector").alias("segment"),
-        F.expr("try_cast(substring(loan_id, 2) as int)").alias("id_num"),
+        F.expr("try_cast(substring(loan_id, 2) as bigint)").alias("id_num"),
         F.expr("try_cast(region as double)").alias("not_a_number"),
     )

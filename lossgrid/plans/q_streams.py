@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lossgrid.operators.windows import share_of_total
+from lossgrid.operators.windows import day_over_day, share_of_total
 from lossgrid.plans.provisioning import process_portfolio
 from lossgrid.plans.q_stress import with_currency
 from lossgrid.plans.registry import SQL_ONLY, query
@@ -212,6 +212,45 @@ def _(t):
     return T.flat(T.threshold_alerts(_events(t)))
 
 
+def _held_sql() -> str:
+    metrics = """SELECT w5, 100.0E0*count(*) FILTER (records_processed IS NOT NULL AND duration_seconds>=0 AND task_id IS NOT NULL)/count(*) AS data_quality,
+      max(duration_seconds) AS max_duration, count(*) FILTER (status='failed')/300.0E0 AS error_rate, sum(records_processed)/300.0E0 AS records_per_second,
+      count(records_processed)/CAST(count(*) AS DOUBLE) AS audit_share FROM {timed} GROUP BY w5"""
+    broken = " UNION ALL ".join(
+        f"SELECT w5, '{a}' AS alert, '{s}' AS severity, CAST({m} AS DOUBLE) AS observed, CAST({v} AS DOUBLE) AS threshold, {hold} AS hold FROM m WHERE {m}{op}{v}"
+        for a, m, op, v, hold, s in T.HELD_RULES
+    )
+    return f"""WITH m AS ({metrics}), b AS ({broken}),
+      r AS (SELECT *, epoch(w5) - 300*row_number() OVER (PARTITION BY alert ORDER BY w5) AS run FROM b),
+      p AS (SELECT *, min(w5) OVER (PARTITION BY alert, run) AS pending_since FROM r)
+      SELECT w5 AS window_start, alert, severity, observed, threshold, pending_since FROM p WHERE w5 >= pending_since + hold * INTERVAL '1 minute'"""
+
+
+@query("held_alerts", _held_sql(), ratio="observed threshold")
+def _(t):
+    return T.held_alerts(_events(t))
+
+
+def _daily_sql() -> str:
+    metrics = """SELECT coalesce(a.day, c.day) AS day, abs(100.0E0*(a.ecl-b.ecl)/b.ecl) AS ecl_change_pct, abs(a.s2-b.s2) AS stage2_change_pts,
+        abs(100.0E0*(a.volume-b.volume)/b.volume) AS volume_change_pct, c.accuracy
+      FROM d a JOIN d b ON a.day = b.day + CAST(1 AS INT) FULL JOIN c ON a.day = c.day"""
+    fired = " UNION ALL ".join(
+        f"SELECT day, '{a}' AS alert, '{s}' AS severity, CAST({m} AS DOUBLE) AS observed, CAST({v} AS DOUBLE) AS threshold FROM m WHERE {m}{op}{v}"
+        for a, m, op, v, s in T.DAILY_RULES
+    )
+    return f"""WITH d AS (SELECT origination_date AS day, sum(calculated_ecl) AS ecl, count(*) AS volume,
+        100.0E0*count(*) FILTER (calculated_stage='STAGE_2')/count(*) AS s2 FROM {{results}} GROUP BY 1),
+      c AS (SELECT origination_date AS day, 100.0E0*count(*) FILTER (predicted_stage=original_stage)/count(*) AS accuracy
+        FROM {{predictions}} JOIN {{results}} USING (loan_id) GROUP BY 1),
+      m AS ({metrics}) {fired}"""
+
+
+@query("daily_alerts", _daily_sql(), ratio="observed threshold")
+def _(t):
+    return T.daily_alerts(day_over_day(t.results), T.daily_accuracy(t.predictions, t.results))
+
+
 @query(
     "latency_p95_alert",
     "SELECT window_start, p95, 'medium' AS severity FROM (SELECT wh AS window_start, quantile_cont(duration_seconds, 0.95) AS p95 FROM {timed} GROUP BY wh) q WHERE p95>30",
@@ -450,6 +489,17 @@ def _(t):
     return done.select("agent", F.col("fired_at").cast("timestamp_ntz").alias("fired_at"), "windows")
 
 
+@query(
+    "stream_stage_share",
+    "SELECT calculated_stage, count(*) AS n, 100.0E0*count(*)/sum(count(*)) OVER () AS percent FROM {results} GROUP BY 1",
+    ratio="percent",
+)
+def _(t):
+    landing = fresh_path(t.spark, "landing")
+    t.loans.repartition(8).write.parquet(landing)
+    return S.running_shares(landing, t.spark, LOAN_DDL, process_portfolio, "calculated_stage")
+
+
 @query(
     "stream_portfolio_ingest",
     "SELECT loan_id, calculated_stage, calculated_ecl FROM {results}",

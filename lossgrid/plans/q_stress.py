@@ -74,7 +74,7 @@ def _(t):
 
 
 def with_currency(loans):
-    code = F.element_at(F.array(*[F.lit(c) for c in C.CURRENCIES]), (F.substring("loan_id", 2, 18).cast("long") % 5 + 1).cast("int"))
+    code = F.element_at(F.array(*[F.lit(c) for c in C.CURRENCIES]), (F.expr("substring(loan_id, 2)").cast("long") % 5 + 1).cast("int"))
     return loans.withColumn("currency", code)
 
 

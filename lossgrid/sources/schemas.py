@@ -19,14 +19,6 @@ LOAN_DDL = (
     "monthly_payment double, customer_income double, credit_score int, days_past_due int, dti_ratio double, "
     "current_balance double, region string, sector string, employment_length int, credit_score_change int"
 )
-PAYMENT_DDL = (
-    "loan_id string, line_no int, l_partkey bigint, l_suppkey bigint, payment_date date, "
-    "scheduled_payment double, actual_payment double, payment_status string, days_late int"
-)
-MACRO_DDL = (
-    "date date, gdp_growth double, unemployment_rate double, inflation_rate double, "
-    "interest_rate double, economic_cycle string"
-)
 TELEMETRY_SOURCE_DDL = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructField, StructType
 
+from lossgrid.functions.expr import pct
 from lossgrid.sources.schemas import TELEMETRY_SOURCE_DDL
 from lossgrid.sources.scratch import fresh_path
 
@@ -199,6 +200,16 @@ def sustained_error_alerts(
     )
 
 
+def running_shares(
+    landing: str, spark: SparkSession, ddl: str, process: Callable[[DataFrame], DataFrame], key: str
+) -> DataFrame:
+    """Share of every value of ``key`` among all rows that arrived; the state is a count per value."""
+    stream = process(spark.readStream.schema(ddl).option("maxFilesPerTrigger", 4).parquet(landing))
+    counts = run_available(stream.groupBy(key).agg(F.count("*").alias("n")), "shares", "update", keys=[key])
+    whole = counts.agg(F.sum("n").alias("n")).scalar()
+    return counts.select(key, "n", pct(F.col("n"), whole).alias("percent"))
+
+
 def ingest_portfolio(landing: str, spark: SparkSession, ddl: str, process: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Arriving loan files through the provisioning chain, one output folder per micro-batch."""
     stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 4).parquet(landing)

@@ -269,6 +269,84 @@ def threshold_alerts(events: DataFrame, rules=ALERT_RULES, size: str = "1 hour",
     return metrics.select("window", F.explode(checks).alias("a")).select("window", "a.*")
 
 
+#: alert, metric, comparison, limit, minutes it has to hold, severity (fixed values)
+HELD_RULES = (
+    ("data_quality_low", "data_quality", "<", 95.0, 0, "critical"),
+    ("processing_time_high", "max_duration", ">", 7200.0, 5, "high"),
+    ("processing_window_breach", "max_duration", ">", 9000.0, 0, "critical"),
+    ("error_rate_high", "error_rate", ">", 0.1, 10, "high"),
+    ("throughput_low", "records_per_second", "<", 100.0, 10, "medium"),
+    ("audit_trail_incomplete", "audit_share", "<", 1.0, 0, "critical"),
+)
+
+#: alert, metric, limit of a day; the first three are changes against the day before (fixed values)
+DAILY_RULES = (
+    ("ecl_variation_high", "ecl_change_pct", ">", 10.0, "medium"),
+    ("staging_anomaly", "stage2_change_pts", ">", 5.0, "medium"),
+    ("volume_anomaly", "volume_change_pct", ">", 20.0, "medium"),
+    ("model_accuracy_low", "accuracy", "<", 85.0, "high"),
+)
+
+
+def _breaches(alert: str, metric: str, op: str, limit: float, severity: str, **more: Column) -> Column:
+    value = F.col(metric).cast("double")
+    return F.when(
+        value > limit if op == ">" else value < limit,
+        F.struct(
+            F.lit(alert).alias("alert"), F.lit(severity).alias("severity"), value.alias("observed"),
+            F.lit(float(limit)).alias("threshold"), *[c.alias(name) for name, c in more.items()],
+        ),
+    )
+
+
+def _fired(metrics: DataFrame, key: str, checks: Sequence[Column]) -> DataFrame:
+    return metrics.select(key, F.explode(F.array_compact(F.array(*checks))).alias("a")).select(key, "a.*")
+
+
+def held_alerts(events: DataFrame, rules=HELD_RULES, minutes: int = 5) -> DataFrame:
+    """Alerts per window that fire once their condition has held for the rule's time, in windows without a gap.
+
+    ``pending_since`` is the first window of the run.  Only windows are sorted, never events.
+    """
+    seconds, n = minutes * 60.0, F.count("*")
+    sound = F.col("records_processed").isNotNull() & (F.col("duration_seconds") >= 0) & F.col("task_id").isNotNull()
+    metrics = flat(
+        windowed(
+            events, f"{minutes} minutes", None, [],
+            pct(F.count_if(sound), n).alias("data_quality"),
+            F.max("duration_seconds").alias("max_duration"),
+            (F.count_if(_failed()) / seconds).alias("error_rate"),
+            (F.sum(F.col("records_processed").cast("long")) / seconds).alias("records_per_second"),
+            share(F.count("records_processed"), n).alias("audit_share"),
+        )
+    )
+    checks = [_breaches(a, m, op, v, s, hold=F.lit(hold)) for a, m, op, v, hold, s in rules]
+    broken = _fired(metrics, "window_start", checks)
+    at = F.unix_timestamp(F.col("window_start").cast("timestamp"))
+    run = at - F.row_number().over(Window.partitionBy("alert").orderBy("window_start")) * F.lit(minutes * 60)
+    since = F.min("window_start").over(Window.partitionBy("alert", "_run"))
+    return (
+        broken.withColumn("_run", run)
+        .withColumn("pending_since", since)
+        .where(F.col("window_start") >= F.col("pending_since") + F.make_dt_interval(mins=F.col("hold")))
+        .drop("_run", "hold")
+    )
+
+
+def daily_alerts(changes: DataFrame, hits: DataFrame, rules=DAILY_RULES) -> DataFrame:
+    """Alerts per day from day-over-day changes and daily model accuracy; changes count in both directions."""
+    moves = {c: F.abs(c) for c in ("ecl_change_pct", "stage2_change_pts", "volume_change_pct")}
+    metrics = changes.select("day", *moves).withColumns(moves).join(hits.select("day", "accuracy"), "day", "full")
+    return _fired(metrics, "day", [_breaches(*rule) for rule in rules])
+
+
+def daily_accuracy(predictions: DataFrame, results: DataFrame, day: str = "origination_date") -> DataFrame:
+    """Share of right predictions per day of the loans they are about."""
+    dated = predictions.select("loan_id", "original_stage", "predicted_stage").join(results.select("loan_id", day), "loan_id")
+    right = F.count_if(F.col("predicted_stage") == F.col("original_stage"))
+    return dated.groupBy(F.col(day).alias("day")).agg(pct(right, F.count("*")).alias("accuracy"))
+
+
 def latency_alerts(quantiles: DataFrame, limit: float) -> DataFrame:
     return quantiles.where(F.col("p95") > limit).select("window_start", "p95", F.lit("medium").alias("severity"))
 
@@ -321,11 +399,11 @@ def counter_increase(events: DataFrame, size: str = "1 hour") -> DataFrame:
         "agent", "event_id", "event_time", F.col("records_processed").cast("long").alias("value"),
         F.window("event_time", size)["start"].cast("timestamp_ntz").alias("window_start"),
     )
-    # nothing is compared across windows, so a window of an agent is all a task needs
-    order = Window.partitionBy("agent", "window_start").orderBy("event_time", "event_id")
-    before = F.lag("value").over(order)
+    # a busy agent's window may lie in many slices of the sorted rows
+    part, before = ["agent", "window_start"], F.col("before")
+    lagged = distributed_lag(base, part, ["event_time", "event_id"], {"before": "value"})
     grown = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
-    return base.withColumn("grown", grown).groupBy("agent", "window_start").agg(
+    return lagged.withColumn("grown", grown).groupBy(*part).agg(
         F.coalesce(F.sum("grown"), F.lit(0)).alias("increase"), F.count("*").alias("samples")
     )
 

@@ -154,3 +154,44 @@ def test_affine_scan_of_nothing(spark):
     assert persistence(empty, "day", {"u": 0.5}).count() == 0
     nulls = spark.createDataFrame([(1, None), (2, None)], "day long, u double")
     assert [r["u_smooth"] for r in persistence(nulls, "day", {"u": 0.5}).collect()] == [None, None]
+
+
+def test_streaks_of_one_loan_and_month_in_many_slices(spark, monkeypatch):
+    """Half of all payments belong to one loan and day; a null loan is a loan, a null status is no missed payment."""
+    n = F.col("id")
+    status = F.when(n % 11 == 0, None).when(n % 3 == 0, "MISSED").otherwise("PAID")
+    pays = spark.range(6_000).select(
+        F.when(n % 2 == 0, "L000000").when(n % 5 == 0, None).otherwise(F.concat(F.lit("L"), n % 40)).alias("loan_id"),
+        n.alias("line_no"), (n * 7).alias("l_partkey"), (n % 13).alias("l_suppkey"),
+        F.to_date(F.lit("2001-05-07")).alias("payment_date"), status.alias("payment_status"),
+    )
+    order = Window.partitionBy("loan_id").orderBy(*W.PAYMENT_ORDER)
+    missed = (F.col("payment_status") == "MISSED").cast("long")
+    plain = pays.withColumns(
+        {
+            "payment_no": F.row_number().over(order).cast("long"),
+            "previous_status": F.lag("payment_status").over(order),
+            "missed_so_far": F.sum(missed).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    )
+    sizes = []
+    slices = S.ordered_slices
+    monkeypatch.setattr(W, "ordered_slices", lambda *a: sizes.append(slices(*a)) or sizes[-1])
+    # so few rows would be sorted into one slice
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = W.payment_streaks(pays).select(*plain.columns)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert plain.exceptAll(split).count() == 0 and split.count() == 6_000
+    assert sizes[0].where("loan_id = 'L000000'").select("_pid").distinct().count() > 1
+
+
+def test_histograms_hold_every_value(spark):
+    """Ranges are those of the values; a column with one value has one bin, a null is in none."""
+    from lossgrid.operators.reports import report_histograms
+
+    rows = [(float(x), 5.0, None) for x in (0, 1, 2, 7, 10)] + [(None, 5.0, None)]
+    got = report_histograms(spark.createDataFrame(rows, "x double, same double, none double"), {"x": 5, "same": 4, "none": 3})
+    found = {(r["measure"], r["bin"], r["bin_start"], r["n"]) for r in got.collect()}
+    assert found == {("x", 1, 0.0, 2), ("x", 2, 2.0, 1), ("x", 4, 6.0, 1), ("x", 5, 8.0, 1), ("same", 1, 5.0, 6)}
