@@ -21,9 +21,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each line kept in the first document that holds it."""
+    """All documents, each line kept in the first document that holds it; ``n_chars``, if there, is counted anew.
+
+    All other columns pass through, also those with the names of the operator's own counts.
+    """
     prepare(spark)
-    cleaned = line_dedup.drop_repeated_lines(docs)
+    own = [c for c in docs.columns if c.lower() in line_dedup.COUNTS]
+    aside = dict(zip(own, free_names(docs, *[f"_{c}" for c in own])))
+    cleaned = line_dedup.drop_repeated_lines(docs.withColumnsRenamed(aside)).drop(*line_dedup.COUNTS)
+    cleaned = cleaned.withColumnsRenamed({there: c for c, there in aside.items()})
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast("long"))
     return cleaned.select(*docs.columns)
@@ -44,14 +50,13 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its tokens, and whether they decode to its text."""
+    """Every document with its tokens, and whether they decode to its text; of other columns only language and source."""
     prepare(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return coded.select(
-        "doc_id", "lang", "source", "ids", "n_tokens", (F.col("decoded") == text).alias("decodes_to_text")
-    )
+    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    return coded.select(*kept, "ids", "n_tokens", (F.col("decoded") == text).alias("decodes_to_text"))
 
 
 STAGES = [
