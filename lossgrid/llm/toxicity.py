@@ -122,7 +122,8 @@ _INSIDE = re.compile(
     r"[^\W_]*(?:[0-9@$!|+*(€]{1,3}[^\W_]+)*"
 )
 _APART = re.compile(r"(?<!\w)[^\W_](?:[ .\-_*][^\W_]){3,}(?!\w)")
-_RUN = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def decode(span: str, model: np.ndarray) -> str:
@@ -195,24 +196,42 @@ def suspects(text: str) -> list[re.Pattern]:
         out.append(_INSIDE)
     equal = codes[1:] == codes[:-1]
     if (equal[1:] & equal[:-1] & letters[2:]).any():
-        out.append(_RUN)
+        out.append(_TRIPLE)
     return out
 
 
+def stretched(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of every run of letters that holds three of a kind in a row; each character is seen once or twice."""
+    end = 0
+    for found in _TRIPLE.finditer(text):
+        if found.start() >= end:
+            start = found.start()
+            while start > end and _WORD.match(text, start - 1, start):
+                start -= 1
+            end = _WORD.match(text, found.end() - 1).end()
+            yield start, end
+
+
 def restore(text: str, model: np.ndarray) -> str:
-    """The text with every span that looks disguised replaced by its likeliest reading."""
+    """The text with every span that looks disguised replaced by its likeliest reading, in time linear in its length."""
 
     def read(found: re.Match) -> str:
         return decode(found.group(), model)
 
     for looks in suspects(text):
-        text = looks.sub(read, text)
+        if looks is not _TRIPLE:
+            text = looks.sub(read, text)
+            continue
+        parts, done = [], 0
+        for start, end in stretched(text):
+            parts += text[done:start], decode(text[start:end], model)
+            done = end
+        text = "".join([*parts, text[done:]])
     return text
 
 
 # ---------------------------------------------------------------- features and classifier
 
-_WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 19
 
 
@@ -331,7 +350,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
     """``docs`` with ``score_col`` between 0 and 1 from the whole text alone (replaced if there is such a column).
 
-    Null and empty texts get the score of a text without features.
+    Null and empty texts get the score of a text without features.  The time for a text grows with its length, however
+    long its words are.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     (work,) = free_names(docs, "_score")

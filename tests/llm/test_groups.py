@@ -173,6 +173,36 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
     }
 
 
+def test_inheritance_against_a_walk_up_the_tree(spark):
+    """Every file of a random tree, with one directory that holds a third of all."""
+    rng, names = random.Random(5), dict(licenses.whole_texts())
+    names = {k: names[k] for k in sorted(names)[:4]}
+    rows = []
+    for k in range(400):
+        depth = rng.randint(0, 5)
+        where = "hot/dir" if k % 3 == 0 else "/".join(rng.choice("ab") for _ in range(depth))
+        name = rng.choice(sorted(names)) if rng.random() < 0.06 else None
+        rows.append((k, f"{where}/f{k}" if where else f"f{k}", names[name] if name else f"words of file {k}"))
+    files = ship_package(spark).createDataFrame(rows, "doc_id long, path string, text string").repartition(5)
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(files).collect()}
+    mine = {k: got[k]["license"] for k, _, text in rows if not text.startswith("words of file")}
+    assert all(got[k]["origin"] == "own" and name for k, name in mine.items())
+    declared = {}
+    for k, path, _ in rows:
+        if k in mine:
+            at = path.rpartition("/")[0]
+            best = (-got[k]["cosine"], mine[k])
+            declared[at] = min(declared.get(at, best), best)
+    for k, path, _ in rows:
+        if k in mine:
+            continue
+        at = path.rpartition("/")[0]
+        while at not in declared and at:
+            at = at.rpartition("/")[0]
+        want = ("inherited", declared[at][1], at) if at in declared else ("none", "", "")
+        assert (got[k]["origin"], got[k]["license"], got[k]["license_dir"]) == want, path
+
+
 def test_license_cosine_by_hand():
     model = licenses.Templates(3, {"license": 2, "mit": 1})
     line = "Released under the MIT License today."

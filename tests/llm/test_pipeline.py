@@ -81,3 +81,17 @@ def test_run_gives_the_last_stage(spark, kept):
     got = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens").toPandas().sort_values("doc_id")
     want = kept[5].sort_values("doc_id")
     assert list(zip(got.doc_id, got.n_tokens)) == list(zip(want.doc_id, want.n_tokens))
+
+
+def test_stages_keep_clashing_columns(spark):
+    """Columns named like the operators' own results pass through; null and repeated rows too."""
+    text = "one line of some words\nshared line of text"
+    rows = [(1, text, "a", 7, "x", 0.5), (2, text, None, None, None, None), (None, None, "c", 9, "z", 1.0), (3, "", "d", 1, "", 0.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string, N_dropped long, _score string, toxicity double")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.schema.names == docs.schema.names, name
+    lines = {r["doc_id"]: r for r in corpus_pipeline.drop_repeated_lines(spark, docs, SF).collect()}
+    assert (lines[1]["n_lines"], lines[1]["N_dropped"], lines[2]["text"], lines[None]["n_lines"]) == ("a", 7, "", "c")
+    coded = corpus_pipeline.encode(spark, docs, SF)
+    assert coded.columns == ["doc_id", "ids", "n_tokens", "decodes_to_text"] and coded.count() == 4

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -261,6 +262,22 @@ def test_restoring(letters, seen, meant):
     assert toxicity.restore(seen, letters) == meant
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="aab b1_.é中", max_size=40))
+def test_stretched_words_are_the_pattern(text):
+    whole = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+    assert list(toxicity.stretched(text)) == [m.span() for m in whole.finditer(text)]
+
+
+def test_restoring_takes_linear_time(letters):
+    """A million letters without a gap, as texts without spaces between words have them."""
+    unbroken = "中文" * 500_000
+    begun = time.monotonic()
+    assert toxicity.restore(f"{unbroken} aaah", letters).startswith(unbroken + " a")
+    assert toxicity.restore("hello", letters) == "hello"
+    assert time.monotonic() - begun < 20
+
+
 def test_decoder_finds_the_cheapest_reading(letters):
     """Viterbi against all readings of a short span."""
     import itertools
