@@ -90,6 +90,13 @@ def train_stage(
         train.unpersist()
 
 
+def _fold_error(sample: DataFrame, fold: int, features: Sequence[str], rounds: int, depth: int) -> float:
+    """Mean absolute error on one fold of the model fitted on the others."""
+    model = pd_regressor(features, rounds, depth).fit(sample.where(F.col("fold") != fold))
+    scored = with_pd(model.transform(sample.where(F.col("fold") == fold)))
+    return RegressionEvaluator(labelCol="label", predictionCol="ml_pd_prediction", metricName="mae").evaluate(scored)
+
+
 def train_pd(
     table: DataFrame,
     features: Sequence[str] = FEATURES,
