@@ -26,18 +26,18 @@ def _table(t):
     return M.training_table(t.staged)
 
 
-def _fit(t, folds: int = 5) -> M.Fit:
+def _fit(t, table, folds: int = 5) -> M.Fit:
     """One forest per session and state of the tables, shared by the queries below; folds add metrics and leave the
     model as it is."""
     key = (t.spark.sparkContext.applicationId, version_of(t.spark, t.sf_dir), folds)
     if key not in _FITS:
-        _FITS[key] = M.train_stage(_table(t), folds=folds)
+        _FITS[key] = M.train_stage(table, folds=folds)
     return _FITS[key]
 
 
-def _forest(t) -> M.Fit:
+def _forest(t, table) -> M.Fit:
     """The same forest for queries that show none of the folds' metrics."""
-    return _FITS.get((t.spark.sparkContext.applicationId, version_of(t.spark, t.sf_dir), 5)) or _fit(t, folds=0)
+    return _FITS.get((t.spark.sparkContext.applicationId, version_of(t.spark, t.sf_dir), 5)) or _fit(t, table, folds=0)
 
 
 SQL_ONLY["stage_sizes"] = "SELECT stage, count(*) AS n, CAST(floor(0.8E0*count(*)) AS BIGINT) AS train FROM {staged} GROUP BY stage"
@@ -66,7 +66,8 @@ _REACHED_SQL = f"""SELECT CAST(train_rows AS BIGINT) AS train_rows, CAST(test_ro
 
 @query("train_stage_classifier", _REACHED_SQL)
 def _(t):
-    return _split_counts(_table(t)).withColumns(_reached(_fit(t).metrics))
+    table = _table(t)
+    return _split_counts(table).withColumns(_reached(_fit(t, table).metrics))
 
 
 @query(
@@ -105,9 +106,10 @@ def _(t):
     """SELECT loan_id, stage AS original_stage, true AS whole, true AS confident, true AS most_likely, DATE '2001-12-31' AS prediction_date FROM {staged}""",
 )
 def _(t):
+    table = _table(t)
     probs = [F.col(f"prob_stage_{i}") for i in (1, 2, 3)]
     predicted = F.element_at(F.create_map(*[x for i, p in enumerate(probs) for x in (F.lit(f"STAGE_{i + 1}"), p)]), F.col("predicted_stage"))
-    return M.score_portfolio(_table(t), _forest(t).model).select(
+    return M.score_portfolio(table, _forest(t, table).model).select(
         "loan_id", "original_stage", (F.abs(probs[0] + probs[1] + probs[2] - 1.0) < 1e-9).alias("whole"),
         (F.col("confidence") == F.greatest(*probs)).alias("confident"), (predicted == F.col("confidence")).alias("most_likely"), "prediction_date",
     )
@@ -119,7 +121,8 @@ def _(t):
     ratio="probability",
 )
 def _(t):
-    scored = M.score_portfolio(_table(t), _forest(t).model)
+    table = _table(t)
+    scored = M.score_portfolio(table, _forest(t, table).model)
     return scored.groupBy("original_stage").agg(
         F.count("*").alias("n"),
         F.sum(sum((F.col(f"prob_stage_{i}") for i in (2, 3)), F.col("prob_stage_1"))).alias("probability"),
@@ -151,7 +154,8 @@ def _(t):
 
 @query("select_model")
 def _(t):
-    simple, advanced = _forest(t).metrics, M.train_boosted(_table(t))
+    table = _table(t)
+    simple, advanced = _forest(t, table).metrics, M.train_boosted(table)
     rows = [("simple", True, simple["accuracy"], None), ("advanced", True, None, advanced["roc_auc"])]
     return _picks(t.spark.createDataFrame(rows, "name string, success boolean, accuracy double, auc double"))
 
@@ -164,11 +168,11 @@ def _picks(candidates):
 @query("model_store", "SELECT count(*) AS scored, count(*) AS identical, '20011231' AS run_id FROM {staged}")
 def _(t):
     root = fresh_path(t.spark, "model-store")
-    fit = _fit(t)
+    table = _table(t)
+    fit = _fit(t, table)
     for run in ("20011130", "20011231"):
         M.save_model(t.spark, fit, root, run)
     reloaded = M.load_latest(t.spark, root)
-    table = _table(t)
     same = M.score_portfolio(table, fit.model).select("loan_id", F.col("predicted_stage").alias("before")).join(
         M.score_portfolio(table, reloaded).select("loan_id", "predicted_stage"), "loan_id"
     )

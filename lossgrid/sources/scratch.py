@@ -40,6 +40,13 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df: DataFrame, key: str, name: str) -> DataFrame:
+    """A copy in the shared folder with a file for every core, rows by hash of ``key`` and in its order: passes that compute
+    for long use all cores, however few files the rows came from."""
+    dealt = df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return materialised(dealt.sortWithinPartitions(key), name)
+
+
 def version_of(spark: SparkSession, sf_dir: str) -> tuple:
     """Names, sizes and times of all files below a folder: the same as long as its tables are."""
     root = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)

@@ -64,3 +64,26 @@ def test_boosted_family_learns_the_stages(spark):
         (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 5 > 0).alias("is_train"),
     )
     assert M.train_boosted(rows, ["x", "y"], rounds=3, depth=2) == {"accuracy": 1.0, "roc_auc": 1.0}
+
+
+def test_training_rows_are_dealt_over_the_cores(spark, tables):
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.staged.rdd.getNumPartitions() < cores  # one small file
+    table = M.training_table(tables.staged)
+    assert table.rdd.getNumPartitions() >= min(cores, 8) and table.count() == tables.staged.count()
+    held = table.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in held) < table.count() / 2
+
+
+def test_no_forest_is_fitted_beside_the_folds(spark, monkeypatch):
+    rows = spark.range(600).select(
+        F.concat(F.lit("L"), F.col("id")).alias("loan_id"), (F.col("id") % 3).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"),
+        F.concat(F.lit("STAGE_"), (F.col("id") % 3 + 1).cast("string")).alias("stage"),
+        (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 5 > 0).alias("is_train"),
+    )
+    fit, sizes = M.Pipeline.fit, []
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, df, params=None: sizes.append(df.count()) or fit(self, df, params))
+    found = M.train_stage(rows, ["x", "y"], trees=5, depth=3, folds=3)
+    whole, *folds = sorted(sizes, reverse=True)
+    assert whole == 480 and len(folds) == 3 and sum(whole - n for n in folds) == 480  # every row is held out once
+    assert found.metrics == {"accuracy": 1.0, "roc_auc": 1.0, "cv_mean": 1.0, "cv_std": 0.0}
