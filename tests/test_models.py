@@ -1,6 +1,7 @@
 """Sizes of the registered models, and the two families of the selection."""
 
 import inspect
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,14 @@ def test_no_forest_is_fitted_beside_the_folds(spark, monkeypatch):
     whole, *folds = sorted(sizes, reverse=True)
     assert whole == 480 and len(folds) == 3 and sum(whole - n for n in folds) == 480  # every row is held out once
     assert found.metrics == {"accuracy": 1.0, "roc_auc": 1.0, "cv_mean": 1.0, "cv_std": 0.0}
+
+
+def test_boosted_models_are_fitted_side_by_side(spark, monkeypatch):
+    rows = spark.range(300).select(
+        F.col("id").alias("loan_id"), (F.col("id") % 3).cast("double").alias("x"),
+        F.concat(F.lit("STAGE_"), (F.col("id") % 3 + 1).cast("string")).alias("stage"),
+        (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 5 > 0).alias("is_train"),
+    )
+    together, fit = Barrier(3, timeout=60), M.GBTClassifier.fit
+    monkeypatch.setattr(M.GBTClassifier, "fit", lambda self, df, params=None: (together.wait(), fit(self, df, params))[1])
+    assert M.train_boosted(rows, ["x"], rounds=2, depth=2) == {"accuracy": 1.0, "roc_auc": 1.0}
