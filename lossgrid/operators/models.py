@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lossgrid.config import DEFAULTS, EclConfig
 from lossgrid.functions.rules import stage_label, stage_number
-from lossgrid.operators.evaluation import auc_one_vs_rest, class_report, weighted_auc
+from lossgrid.operators.evaluation import auc_one_vs_rest, class_report, regression_metrics, weighted_auc
 from lossgrid.operators.sampling import split_stratified
 from lossgrid.operators.tuning import LABELLED_ROWS, Sample, Whole, labelled_sample, search
 from lossgrid.sources.scratch import materialised, spread
@@ -122,19 +122,16 @@ def train_pd(
     ``fold_rows`` of them, drawn by the stages' shares.
     """
     train, test = table.where("is_train"), table.where("not is_train")
-    model = pd_regressor(features, rounds, depth).fit(train)
-    scored = with_pd(model.transform(test))
-    metrics = {
-        m: RegressionEvaluator(predictionCol="ml_pd_prediction", metricName=m).evaluate(scored)
-        for m in ("mae", "mse", "rmse", "r2")
-    }
-    if folds > 1:
-        sample = labelled_sample(table, fold_rows, folds).coalesce(1).persist()
-        try:
-            with ThreadPoolExecutor(folds) as pool:
-                errors = list(pool.map(lambda k: _fold_error(sample, k, features, rounds, depth), range(folds)))
-        finally:
-            sample.unpersist()
+    errors: list[float] = []
+    with ThreadPoolExecutor(folds + 1) as pool:
+        fitted = pool.submit(lambda: pd_regressor(features, rounds, depth).fit(train))
+        if folds > 1:
+            sample = materialised(labelled_sample(table, fold_rows, folds).coalesce(1), "folds")
+            errors = list(pool.map(lambda k: _fold_error(sample, k, features, rounds, depth), range(folds)))
+        model = fitted.result()
+    found = regression_metrics(with_pd(model.transform(test)).select("label", "ml_pd_prediction"), "label", "ml_pd_prediction")
+    metrics = found.first().asDict()
+    if errors:
         metrics |= {"cv_mae_mean": fmean(errors), "cv_mae_std": pstdev(errors)}
     return Fit(model, metrics, _importance(model, features))
 

@@ -99,3 +99,15 @@ def test_boosted_models_are_fitted_side_by_side(spark, monkeypatch):
     together, fit = Barrier(3, timeout=60), M.GBTClassifier.fit
     monkeypatch.setattr(M.GBTClassifier, "fit", lambda self, df, params=None: (together.wait(), fit(self, df, params))[1])
     assert M.train_boosted(rows, ["x"], rounds=2, depth=2) == {"accuracy": 1.0, "roc_auc": 1.0}
+
+
+def test_pd_metrics_and_folds(spark, monkeypatch):
+    rows = spark.range(400).select(
+        F.concat(F.lit("L"), F.col("id")).alias("loan_id"), F.lit("STAGE_1").alias("stage"), (F.col("id") % 5).cast("double").alias("x"),
+        ((F.col("id") % 5) / 10).alias("label"), (F.col("id") % 4 > 0).alias("is_train"),
+    )
+    together, fit = Barrier(3, timeout=60), M.Pipeline.fit  # the model and two folds
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, df, params=None: (together.wait(), fit(self, df, params))[1])
+    m = M.train_pd(rows, ["x"], rounds=5, depth=3, folds=2).metrics
+    assert set(m) == {"mae", "mse", "rmse", "r2", "cv_mae_mean", "cv_mae_std"}
+    assert m["mae"] < 0.01 and m["r2"] > 0.99 and m["cv_mae_mean"] < 0.01 and m["rmse"] ** 2 == pytest.approx(m["mse"])
