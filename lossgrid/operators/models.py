@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from statistics import fmean, pstdev
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lossgrid.config import DEFAULTS, EclConfig
 from lossgrid.functions.rules import stage_label, stage_number
 from lossgrid.operators.evaluation import auc_one_vs_rest, class_report, regression_metrics, weighted_auc
+from lossgrid.operators.forest import ForestClassifier
 from lossgrid.operators.sampling import split_stratified
 from lossgrid.operators.tuning import LABELLED_ROWS, Sample, Whole, labelled_sample, search
 from lossgrid.sources.scratch import materialised, spread
@@ -46,8 +47,7 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def stage_classifier(features: Sequence[str] = FEATURES, trees: int = 100, depth: int = 10, leaf: int = 10) -> Pipeline:
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=42)
-    return Pipeline(stages=[_assembler(features), forest])
+    return Pipeline(stages=[_assembler(features), ForestClassifier(features, trees, depth, leaf)])
 
 
 def pd_regressor(features: Sequence[str] = FEATURES, rounds: int = 100, depth: int = 5, leaf: int = 10) -> Pipeline:
@@ -68,7 +68,7 @@ def _importance(model: PipelineModel, features: Sequence[str]) -> dict[str, floa
 
 
 #: Folds of the stage model that are fitted at a time.
-FOLDS_AT_A_TIME = 2
+FOLDS_AT_A_TIME = 5
 
 
 def _fold_accuracy(train: DataFrame, fold: int, pipeline: Pipeline) -> float:
