@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import math
 import time
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ from lossgrid.sources.scratch import fresh_path, materialised
 #: Bins of a feature's values, as many as Spark's trees have; quantiles they are made from, and the size of their sketch.
 BINS, GRID, SKETCH = 32, 1024, 1024
 
-#: Rows of a block, and nodes whose counts travel together.
+#: Rows of a block, and nodes whose counts travel together, of one tree or of several.
 BLOCK_ROWS, NODES = 32_768, 256
 
 #: Levels whose nodes are compared with all rows of a block; below them each row follows its own node.
@@ -38,6 +38,18 @@ _DRAWS = np.searchsorted(
     np.cumsum([math.exp(-1) / math.factorial(k) for k in range(9)]), (np.arange(1 << 16) + 0.5) / (1 << 16)
 ).astype(np.uint8)
 
+#: The smallest numbers with a weight of 1, 2, ...
+_STEPS = [int(x) for x in np.searchsorted(_DRAWS, np.arange(1, int(_DRAWS[-1]) + 1))]
+
+
+def _drawn(seed: tuple[int, ...], n: int) -> np.ndarray:
+    """Bootstrap weights of a block's rows in a tree."""
+    numbers = np.random.default_rng(seed).integers(0, 1 << 16, n, np.uint16)
+    weight = np.zeros(n, np.uint8)
+    for step in _STEPS:
+        weight += numbers >= step
+    return weight
+
 
 def bin_edges(df: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
     """Upper ends of every feature's bins but the last: all its values if they are few, otherwise quantiles."""
@@ -126,34 +138,46 @@ class Growth:
         goes_on = (feature >= 0) | (slot >= 0)  # nodes that were split, and those to split now
         width = BINS * self.classes
         out = np.zeros((chosen.shape[1], len(nodes) * width))
+        top = min(level, WHOLE_LEVELS)
+        all_go_on = goes_on[1 << top : 2 << top].all()
         for number, codes in blocks:
             n, flat = codes.shape[1], codes.reshape(-1)
-            drawn = np.random.default_rng((self.seed, tree, number)).integers(0, 1 << 16, n, np.uint16)
-            place, top = np.ones(n, np.uint8), min(level, WHOLE_LEVELS)
+            place = np.ones(n, np.uint8)
             for k in range(1, 1 << top):  # the first nodes are met by many rows: compared with whole columns
                 if k & (k - 1) == 0:
                     before, place = place, place << 1
                 if feature[k] >= 0:
                     place |= (before == k) & (codes[feature[k]] > last[k])
-            weight = _DRAWS.take(drawn) * goes_on.take(place)  # rows in leaves went to places without nodes
-            row = np.flatnonzero(weight)
+            weight = _drawn((self.seed, tree, number), n)
+            if not all_go_on:
+                weight *= goes_on.take(place)  # rows in leaves went to places without nodes
+            row = np.flatnonzero(weight != 0)
             node, shift = place.take(row).astype(np.intp), feature.astype(np.intp) * n
             for below in range(top, level):
                 if below > top and (below - top) % 2 == 0:
-                    on = goes_on.take(node)
-                    row, node = row[on], node[on]
-                right = flat.take(shift.take(node) + row) > last.take(node)
+                    row, node = _kept(goes_on.take(node), row, node)
+                at = shift.take(node)
+                at += row
+                right = flat.take(at) > last.take(node)
                 node += node
                 node += right
             at = slot.take(node)
             if level > top:
-                on = at >= 0
-                row, at = row[on], at[on]
+                row, at = _kept(at >= 0, row, at)
             weight, base = weight.take(row).astype(float), at * width
             for k, of in enumerate(np.ascontiguousarray(chosen.T * n)):
-                out[k] += np.bincount(base + flat.take(of.take(at) + row), weight, out.shape[1])
+                met = of.take(at)
+                met += row
+                out[k] += np.bincount(base + flat.take(met), weight, out.shape[1])
         return out.reshape(len(out), len(nodes), width).astype(np.int64)
 
+    def sought(self, level: int, trees: Trees, some: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Open nodes of a level, tree after tree: their trees, their places and their chosen features."""
+        each = [(k, np.flatnonzero(trees.open[k, 1 << level : 2 << level])) for k in some]
+        chosen = [self.chosen(k, level, nodes, len(trees.open)) for k, nodes in each]
+        of = np.repeat([k for k, _ in each], [len(nodes) for _, nodes in each])
+        return of, np.concatenate([nodes for _, nodes in each]) + (1 << level), np.concatenate(chosen)
+
     def best(self, held: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
         """For each node its feature (-1: no split), cut, gain, and the classes' counts of all its rows and of the left ones."""
         held = held.reshape(len(held), -1, BINS, self.classes).astype(float)
@@ -188,9 +212,19 @@ def grow(blocks: DataFrame, growth: Growth, trees: int, depth: int) -> Trees:
     return grown
 
 
+def _kept(on: np.ndarray, *of: np.ndarray) -> tuple[np.ndarray, ...]:
+    if on.all():
+        return of
+    at = np.flatnonzero(on)
+    return tuple(x.take(at) for x in of)
+
+
 def _level(blocks: DataFrame, growth: Growth, level: int, sent: Broadcast) -> DataFrame:
-    """The best splits of a level's open nodes, a row for each tree and group of its nodes."""
-    kind = _code_type(growth.classes)
+    """The best splits of a level's open nodes, a row for each group of nodes: of several trees as long as they have few."""
+    kind, size = _code_type(growth.classes), NODES
+    sizes = sent.value.open[:, 1 << level :].sum(axis=1)
+    bunch = max(1, size // int(sizes.max()))
+    groups = -(-len(sizes) // bunch) if bunch > 1 else int((-(-sizes // size)).sum())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [
@@ -199,40 +233,44 @@ def _level(blocks: DataFrame, growth: Growth, level: int, sent: Broadcast) -> Da
             for number, codes in zip(batch["block"], batch["codes"])
         ]  # the rows of one file split, a byte for each feature
         now: Trees = sent.value
-        for tree in range(len(now.open) if held else 0):
-            if now.open[tree].any():
-                found = growth.counts(tree, level, now, held).astype(np.int32)
-                parts = range(0, found.shape[1], NODES)
-                yield pd.DataFrame({"tree": tree, "part": list(parts), "held": [found[:, p : p + NODES].tobytes() for p in parts]})
+        for first in range(0, len(now.open) if held else 0, bunch):
+            found = [growth.counts(k, level, now, held) for k in range(first, min(first + bunch, len(now.open))) if now.open[k].any()]
+            if found:
+                found = np.concatenate(found, axis=1)
+                found = found.astype(np.min_scalar_type(int(found.max())))
+                parts = range(0, found.shape[1], size)
+                yield pd.DataFrame({"tree": first, "part": list(parts), "held": [found[:, p : p + size].tobytes() for p in parts]})
 
     def split(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        tree, part = map(int, key)
-        nodes = np.flatnonzero(sent.value.open[tree, 1 << level :])[part : part + NODES]
-        chosen = growth.chosen(tree, level, nodes, len(sent.value.open))
+        first, part = map(int, key)
+        now: Trees = sent.value
+        tree, node, chosen = (
+            x[part : part + size] for x in growth.sought(level, now, range(first, min(first + bunch, len(now.open))))
+        )
         held = np.zeros(chosen.size * BINS * growth.classes, np.int64)
         for one in rows["held"]:
-            held += np.frombuffer(one, np.int32)
-        found = nodes + (1 << level), *growth.best(held.reshape(chosen.shape[1], len(nodes), -1), chosen)
-        return pd.DataFrame({"tree": [tree]} | {c: [x.astype(t).tobytes()] for (c, t), x in zip(_SPLIT.items(), found)})
+            held += np.frombuffer(one, f"u{len(one) // len(held)}")  # as wide as the task's highest count
+        found = tree, node, *growth.best(held.reshape(chosen.shape[1], len(node), -1), chosen)
+        return pd.DataFrame({c: [x.astype(t).tobytes()] for (c, t), x in zip(_SPLIT.items(), found)})
 
-    schema = "tree int, " + ", ".join(f"{c} binary" for c in _SPLIT)
-    return blocks.mapInPandas(count, "tree int, part int, held binary").groupBy("tree", "part").applyInPandas(split, schema)
+    counted = blocks.mapInPandas(count, "tree int, part int, held binary")
+    dealt = counted.repartition(min(groups, blocks.sparkSession.sparkContext.defaultParallelism), "tree", "part")
+    return dealt.groupBy("tree", "part").applyInPandas(split, ", ".join(f"{c} binary" for c in _SPLIT))
 
 
 #: What is found for a group of nodes, as arrays of these kinds.
-_SPLIT = {"node": np.int64, "feature": np.int16, "cut": np.int16, "gain": float, "whole": float, "lefts": float}
+_SPLIT = {"tree": np.int64, "node": np.int64, "feature": np.int16, "cut": np.int16, "gain": float, "whole": float, "lefts": float}
 
 
 def _record(grown: Trees, found: Row, growth: Growth, last: bool) -> None:
-    tree = found["tree"]
-    node, feature, cut, gain, whole, left = (np.frombuffer(found[c], t) for c, t in _SPLIT.items())
+    tree, node, feature, cut, gain, whole, left = (np.frombuffer(found[c], t) for c, t in _SPLIT.items())
     whole, left = (x.reshape(-1, growth.classes) for x in (whole, left))
     grown.feature[tree, node], grown.cut[tree, node], grown.gain[tree, node], grown.held[tree, node] = feature, cut, gain, whole
     on = feature >= 0
     for child, held in ((2 * node[on], left[on]), (2 * node[on] + 1, (whole - left)[on])):
-        grown.held[tree, child] = held
+        grown.held[tree[on], child] = held
         n = held.sum(axis=1)
-        grown.open[tree, child] = (not last) & (n >= 2 * growth.leaf) & (held.max(axis=1) < n)
+        grown.open[tree[on], child] = (not last) & (n >= 2 * growth.leaf) & (held.max(axis=1) < n)
 
 
 def as_model(spark: SparkSession, grown: Trees, edges: list[np.ndarray], growth: Growth, params: dict) -> RandomForestClassificationModel:
@@ -274,7 +312,9 @@ def as_model(spark: SparkSession, grown: Trees, edges: list[np.ndarray], growth:
     spark.createDataFrame(each, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     whole = described("RandomForestClassificationModel", path.rsplit("/", 1)[-1], params, **sizes, numTrees=trees)
     spark.createDataFrame([(whole,)], "value string").coalesce(1).write.text(f"{path}/metadata")
-    return RandomForestClassificationModel.load(path)
+    model = RandomForestClassificationModel.load(path)
+    model.saved_at = path  # spares those who read its nodes a second copy
+    return model
 
 
 def _nodes(grown: Trees, tree: int, edges: list[np.ndarray], stats: list[str]) -> pd.DataFrame:

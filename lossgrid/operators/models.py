@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from statistics import fmean, pstdev
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,6 +23,7 @@ from lossgrid.operators.evaluation import auc_one_vs_rest, class_report, regress
 from lossgrid.operators.forest import ForestClassifier
 from lossgrid.operators.sampling import split_stratified
 from lossgrid.operators.tuning import LABELLED_ROWS, Sample, Whole, labelled_sample, search
+from lossgrid.operators.walk import with_class_scores
 from lossgrid.sources.scratch import materialised, spread
 
 FEATURES = (
@@ -67,14 +68,27 @@ def _importance(model: PipelineModel, features: Sequence[str]) -> dict[str, floa
     return {f: float(weights[i]) for i, f in enumerate(features)}
 
 
-#: Folds of the stage model that are fitted at a time.
+#: Folds of the stage model that are fitted at a time, beside the model itself.
 FOLDS_AT_A_TIME = 5
 
 
 def _fold_accuracy(train: DataFrame, fold: int, pipeline: Pipeline) -> float:
     """Accuracy on one fold of the model fitted on the others."""
-    scored = pipeline.fit(train.where(F.col("fold") != fold)).transform(train.where(F.col("fold") == fold))
-    return scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    model = pipeline.fit(train.where(F.col("fold") != fold))
+    scored = stage_scores(train.where(F.col("fold") == fold), model)
+    return scored.agg(F.avg((F.col("predicted_stage") == stage_label((F.col("label") + 1).cast("int"))).cast("double"))).first()[0]
+
+
+def _fit_and_measure(table: DataFrame, pipeline: Pipeline) -> tuple[PipelineModel, dict[str, float]]:
+    """The model of the train part, and what it says about the rest."""
+    model = pipeline.fit(table.where("is_train"))
+    names = {f"STAGE_{i}": f"prob_stage_{i}" for i in (1, 2, 3)}
+    scored = stage_scores(table.where("not is_train"), model).select("stage", "predicted_stage", *names.values())
+    scored = materialised(scored, "scored")
+    return model, {
+        "accuracy": scored.agg(F.avg((F.col("predicted_stage") == F.col("stage")).cast("double"))).first()[0],
+        "roc_auc": weighted_auc(auc_one_vs_rest(scored, "stage", {s: F.col(p) for s, p in names.items()})).first()[0],
+    }
 
 
 def train_stage(
@@ -84,19 +98,16 @@ def train_stage(
 
     Every training row lies in one fold, by a hash of its loan.
     """
-    train, test = table.where("is_train"), table.where("not is_train")
+    train = table.where("is_train")
     pipeline = stage_classifier(features, trees, depth)
-    model = pipeline.fit(train)
-    names = {f"STAGE_{i}": f"prob_stage_{i}" for i in (1, 2, 3)}
-    scored = materialised(with_stage_scores(model.transform(test)).select("stage", "predicted_stage", *names.values()), "scored")
-    metrics = {
-        "accuracy": scored.agg(F.avg((F.col("predicted_stage") == F.col("stage")).cast("double"))).first()[0],
-        "roc_auc": weighted_auc(auc_one_vs_rest(scored, "stage", {s: F.col(p) for s, p in names.items()})).first()[0],
-    }
-    if folds > 1:
-        dealt = train.withColumn("fold", F.pmod(F.xxhash64("loan_id"), F.lit(folds)))
-        with ThreadPoolExecutor(FOLDS_AT_A_TIME) as pool:
+    with ThreadPoolExecutor(FOLDS_AT_A_TIME + 1) as pool:
+        fitted = pool.submit(_fit_and_measure, table, pipeline)
+        found = []
+        if folds > 1:
+            dealt = train.withColumn("fold", F.pmod(F.xxhash64("loan_id"), F.lit(folds)))
             found = list(pool.map(lambda k: _fold_accuracy(dealt, k, pipeline), range(folds)))
+        model, metrics = fitted.result()
+    if found:
         metrics |= {"cv_mean": fmean(found), "cv_std": pstdev(found)}
     return Fit(model, metrics, _importance(model, features))
 
@@ -172,13 +183,23 @@ def with_stage_scores(transformed: DataFrame) -> DataFrame:
     )
 
 
+def stage_scores(df: DataFrame, model: PipelineModel) -> DataFrame:
+    """``df`` with what ``with_stage_scores`` adds; forests on assembled columns are walked for many rows at a time."""
+    first, last = model.stages[0], model.stages[-1]
+    walked = len(model.stages) == 2 and isinstance(first, VectorAssembler) and isinstance(last, RandomForestClassificationModel)
+    if not walked or last.numClasses != 3 or last.isDefined("thresholds"):
+        return with_stage_scores(model.transform(df)).select(*df.columns, "predicted_stage", *[f"prob_stage_{i}" for i in (1, 2, 3)])
+    found = with_class_scores(df, first.getInputCols(), last, "_prediction", [f"prob_stage_{i}" for i in (1, 2, 3)])
+    return found.withColumn("predicted_stage", stage_label((F.col("_prediction") + 1).cast("int"))).drop("_prediction")
+
+
 def with_pd(transformed: DataFrame) -> DataFrame:
     return transformed.withColumn("ml_pd_prediction", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("prediction"))))
 
 
 def score_portfolio(table: DataFrame, stage_model: PipelineModel, cfg: EclConfig = DEFAULTS) -> DataFrame:
     """Predicted stage, class probabilities and confidence for every loan; partitions are the batches."""
-    scored = with_stage_scores(stage_model.transform(table))
+    scored = stage_scores(table, stage_model)
     return scored.select(
         "loan_id",
         F.col("stage").alias("original_stage"),

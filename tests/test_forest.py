@@ -138,3 +138,13 @@ def test_no_copy_of_the_rows_grows_with_the_trees(spark, rows):
     finally:
         G._level = record
     assert seen == [before] * 3
+
+
+def test_few_nodes_of_many_trees_travel_together(spark, rows, monkeypatch):
+    """A level's groups follow its open nodes, not its trees, and no count takes more bytes than it needs."""
+    _, blocks = blocks_of(rows)
+    growth, level, sizes = G.Growth(4, 3, 5, 42), G._level, []
+    monkeypatch.setattr(G, "_level", lambda *a: (sizes.append((int(a[3].value.open.sum()), level(*a).count())), level(*a))[1])
+    G.grow(blocks, growth, 40, 5)
+    assert sizes[0] == (40, 1) and len(sizes) == 5
+    assert all(groups <= 2 * nodes / G.NODES + 1 for nodes, groups in sizes)

@@ -111,3 +111,15 @@ def test_pd_metrics_and_folds(spark, monkeypatch):
     m = M.train_pd(rows, ["x"], rounds=5, depth=3, folds=2).metrics
     assert set(m) == {"mae", "mse", "rmse", "r2", "cv_mae_mean", "cv_mae_std"}
     assert m["mae"] < 0.01 and m["r2"] > 0.99 and m["cv_mae_mean"] < 0.01 and m["rmse"] ** 2 == pytest.approx(m["mse"])
+
+
+def test_the_stage_model_is_fitted_beside_its_folds(spark, monkeypatch):
+    rows = spark.range(300).select(
+        F.concat(F.lit("L"), F.col("id")).alias("loan_id"), (F.col("id") % 3).cast("double").alias("x"),
+        F.concat(F.lit("STAGE_"), (F.col("id") % 3 + 1).cast("string")).alias("stage"),
+        (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 5 > 0).alias("is_train"),
+    )
+    together, fit = Barrier(3, timeout=60), M.Pipeline.fit  # the model and two folds
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, df, params=None: (together.wait(), fit(self, df, params))[1])
+    found = M.train_stage(rows, ["x"], trees=2, depth=2, folds=2)
+    assert found.metrics == {"accuracy": 1.0, "roc_auc": 1.0, "cv_mean": 1.0, "cv_std": 0.0}
