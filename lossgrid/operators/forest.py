@@ -289,6 +289,22 @@ def as_model(spark: SparkSession, grown: Trees, edges: list[np.ndarray], growth:
         "tree int, id int, prediction double, impurity double, gain double, n long, left int, right int, feature int, cut double, "
         + ", ".join(f"{s} double" for s in stats),
     )
+    of_tree = {k: v for k, v in params.items() if k != "numTrees"}
+    sizes = {"numFeatures": growth.features, "numClasses": growth.classes}
+    kinds = ("classification.RandomForestClassificationModel", "classification.DecisionTreeClassificationModel")
+    model = load_trees(RandomForestClassificationModel, flat, stats, kinds, params, of_tree, [1.0] * trees, sizes, path)
+    sent.unpersist()
+    model.saved_at = path  # spares those who read its nodes a second copy
+    return model
+
+
+def load_trees(
+    model: type, flat: DataFrame, stats: Sequence[str], kinds: tuple[str, str], params: dict, of_tree: dict, weights: Sequence[float],
+    sizes: dict, path: str | None = None,
+):
+    """Spark's ``model`` from a row for each node, written the way Spark saves it; ``kinds`` are its class and its trees'."""
+    spark = flat.sparkSession
+    path = path or fresh_path(spark, "trees")
     splits = F.col("feature") >= 0
     none = F.array().cast("array<double>")
     split = F.struct(
@@ -300,21 +316,16 @@ def as_model(spark: SparkSession, grown: Trees, edges: list[np.ndarray], growth:
         F.col("left").alias("leftChild"), F.col("right").alias("rightChild"), split.alias("split"),
     )
     flat.select(F.col("tree").alias("treeID"), node.alias("nodeData")).write.parquet(f"{path}/data")
-    sent.unpersist()
 
     def described(kind: str, uid: str, params: dict, **more) -> str:
-        of = {"class": f"org.apache.spark.ml.classification.{kind}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version}
+        of = {"class": f"org.apache.spark.ml.{kind}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version}
         return json.dumps(of | {"uid": uid, "paramMap": params, "defaultParamMap": {}} | more)
 
-    of_tree = {k: v for k, v in params.items() if k != "numTrees"}
-    sizes = {"numFeatures": growth.features, "numClasses": growth.classes}
-    each = [(k, described("DecisionTreeClassificationModel", f"tree_{k}", of_tree, **sizes), 1.0) for k in range(trees)]
+    each = [(k, described(kinds[1], f"tree_{k}", of_tree, **sizes), weight) for k, weight in enumerate(weights)]
     spark.createDataFrame(each, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
-    whole = described("RandomForestClassificationModel", path.rsplit("/", 1)[-1], params, **sizes, numTrees=trees)
+    whole = described(kinds[0], path.rsplit("/", 1)[-1], params, **sizes, numTrees=len(weights))
     spark.createDataFrame([(whole,)], "value string").coalesce(1).write.text(f"{path}/metadata")
-    model = RandomForestClassificationModel.load(path)
-    model.saved_at = path  # spares those who read its nodes a second copy
-    return model
+    return model.load(path)
 
 
 def _nodes(grown: Trees, tree: int, edges: list[np.ndarray], stats: list[str]) -> pd.DataFrame:

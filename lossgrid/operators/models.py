@@ -10,7 +10,6 @@ from statistics import fmean, pstdev
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lossgrid.config import DEFAULTS, EclConfig
 from lossgrid.functions.rules import stage_label, stage_number
+from lossgrid.operators import boost
 from lossgrid.operators.evaluation import auc_one_vs_rest, class_report, regression_metrics, weighted_auc
 from lossgrid.operators.forest import ForestClassifier
 from lossgrid.operators.sampling import split_stratified
@@ -51,9 +51,8 @@ def stage_classifier(features: Sequence[str] = FEATURES, trees: int = 100, depth
     return Pipeline(stages=[_assembler(features), ForestClassifier(features, trees, depth, leaf)])
 
 
-def pd_regressor(features: Sequence[str] = FEATURES, rounds: int = 100, depth: int = 5, leaf: int = 10) -> Pipeline:
-    boosted = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=0.1, minInstancesPerNode=leaf, seed=42)
-    return Pipeline(stages=[_assembler(features), boosted])
+def pd_regressor(rounds: int = 100, depth: int = 5, leaf: int = 10) -> GBTRegressor:
+    return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=0.1, minInstancesPerNode=leaf, seed=42)
 
 
 @dataclass(frozen=True)
@@ -112,38 +111,31 @@ def train_stage(
     return Fit(model, metrics, _importance(model, features))
 
 
-def _fold_error(sample: DataFrame, fold: int, features: Sequence[str], rounds: int, depth: int) -> float:
-    """Mean absolute error on one fold of the model fitted on the others."""
-    model = pd_regressor(features, rounds, depth).fit(sample.where(F.col("fold") != fold))
-    scored = with_pd(model.transform(sample.where(F.col("fold") == fold)))
-    return RegressionEvaluator(labelCol="label", predictionCol="ml_pd_prediction", metricName="mae").evaluate(scored)
-
-
 def train_pd(
     table: DataFrame,
     features: Sequence[str] = FEATURES,
     rounds: int = 100,
     depth: int = 5,
     folds: int = 5,
-    fold_rows: int = LABELLED_ROWS,
 ) -> Fit:
     """Boosted PD model; predictions are limited to [0, 1] before scoring.
 
-    The model learns from all training rows.  Its cross-validated absolute error comes from ``folds`` models on at most
-    ``fold_rows`` of them, drawn by the stages' shares.
+    Every training row lies in one fold, by a hash of its loan.  The model learns from all of them and each of ``folds`` others
+    from all outside its fold, side by side; the cross-validated absolute error is of the rows in the folds.
     """
-    train, test = table.where("is_train"), table.where("not is_train")
-    errors: list[float] = []
-    with ThreadPoolExecutor(folds + 1) as pool:
-        fitted = pool.submit(lambda: pd_regressor(features, rounds, depth).fit(train))
-        if folds > 1:
-            sample = materialised(labelled_sample(table, fold_rows, folds).coalesce(1), "folds")
-            errors = list(pool.map(lambda k: _fold_error(sample, k, features, rounds, depth), range(folds)))
-        model = fitted.result()
-    found = regression_metrics(with_pd(model.transform(test)).select("label", "ml_pd_prediction"), "label", "ml_pd_prediction")
+    folds = folds if folds > 1 else 0
+    fold = F.pmod(F.xxhash64("loan_id"), F.lit(max(folds, 1))).cast("int")
+    rows = table.select(*features, "label", F.when(F.col("is_train"), fold).otherwise(boost.TEST).alias("part"))
+    how = pd_regressor(rounds, depth)
+    grown = boost.fit(rows, features, [boost.Target(held=k) for k in (boost.TEST, *range(folds))], how)
+    scored = with_pd(grown.scored.withColumnRenamed("s0", "prediction"))
+    found = regression_metrics(scored.where(F.col("part") == boost.TEST), "label", "ml_pd_prediction")
     metrics = found.first().asDict()
-    if errors:
+    if folds:
+        of_fold = scored.where(F.col("part") != boost.TEST).groupBy("part").agg(F.avg(F.abs(F.col("label") - F.col("ml_pd_prediction"))).alias("mae"))
+        errors = [r["mae"] for r in of_fold.collect()]
         metrics |= {"cv_mae_mean": fmean(errors), "cv_mae_std": pstdev(errors)}
+    model = PipelineModel([_assembler(features), boost.regression_model(table.sparkSession, grown.trees[0], grown.edges, how)])
     return Fit(model, metrics, _importance(model, features))
 
 

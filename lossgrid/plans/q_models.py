@@ -1,8 +1,8 @@
 """Training, scoring and evaluation queries.
 
-Models have the operators' full sizes and learn from all training rows (the parameter search and the folds of the PD model
-from a bounded sample of them).  What a model says about a loan has no SQL form, so its queries return what must hold for
-whatever it says: row counts, sums of probabilities, bounds of its errors.
+Models have the operators' full sizes and learn from all training rows (the parameter search from a bounded sample of them).
+What a model says about a loan has no SQL form, so its queries return what must hold for whatever it says: row counts, sums of
+probabilities, bounds of its errors.
 """
 
 from __future__ import annotations
