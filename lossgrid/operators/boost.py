@@ -2,8 +2,8 @@
 
 The rows are binned once and dealt over the tasks of a barrier stage, which keep them as bytes beside what each model says
 about them.  Level by level every task counts its own rows by node, feature and bin, the tasks tell each other their counts,
-and all find the same splits from the sums.  Residuals are rounded to whole numbers of a two-millionth of the largest one or
-less, so that sums are exact and the trees do not depend on where the rows lie.  Losses, weights and limits are those of
+and all find the same splits from the sums.  Residuals are rounded to whole numbers of an eight-millionth of the largest one
+or less, so that sums are exact and the trees do not depend on where the rows lie.  Losses, weights and limits are those of
 Spark's own boosted trees.
 """
 
@@ -35,10 +35,7 @@ TEST = -1
 BLOCK_ROWS, TASKS = 16_384, 64
 
 #: Rows counted together, bins of features that are counted as one, and the largest residual as a whole number.
-CHUNK, JOINT, TOP = 32_000, 1024, 1 << 22
-
-#: A row counts as this in sums that hold its residual too: both parts of a chunk's sum stay exact.
-ONE = float(1 << 38)
+CHUNK, JOINT, TOP = 120_000, 1024, 1 << 24
 
 
 @dataclass(frozen=True)
@@ -171,25 +168,29 @@ class _Model:
         m, out = len(self.counted), np.zeros((2, len(self.counted), len(self.bins), BINS))
         if not m:
             return out
+        sizes = [int(np.prod([self.bins[f] for f in group])) for group in groups]
+        held = [np.zeros((2, m * size)) for size in sizes]
         slot = np.full(2 << self.sizes.depth, -1, np.intp)
         slot[self.counted] = np.arange(m)
         for s in self.learned():
-            if self.counted == [1]:
-                row, at, weight = None, 0, s.residual + ONE
-            else:
+            row, at, weight = None, None, s.residual
+            if self.counted != [1]:
                 at = slot.take(s.place)
                 row = np.flatnonzero(at >= 0)
-                at, weight = at.take(row), s.residual.take(row) + ONE
-            for group, joint in zip(groups, s.rows.joint):
-                shape = [self.bins[f] for f in group]
-                size = int(np.prod(shape))
-                bin_ = joint if row is None else at * size + joint.take(row)
-                both = np.bincount(bin_, weight, m * size).reshape(m, *shape)
-                for k, f in enumerate(group):
-                    one = both.sum(axis=tuple(a for a in range(1, both.ndim) if a != k + 1))
-                    n = np.rint(one / ONE)
-                    out[0, :, f, : self.bins[f]] += n
-                    out[1, :, f, : self.bins[f]] += one - n * ONE
+                at, weight = at.take(row), weight.take(row)
+            weight = weight.astype(float)
+            for both, size, joint in zip(held, sizes, s.rows.joint):
+                if row is None:
+                    cell = joint.astype(np.intp)
+                else:
+                    cell = at * size
+                    cell += joint.take(row)
+                both[0] += np.bincount(cell, minlength=m * size)
+                both[1] += np.bincount(cell, weight, m * size)
+        for group, both in zip(groups, held):
+            both = both.reshape(2, m, *[self.bins[f] for f in group])
+            for k, f in enumerate(group):
+                out[:, :, f, : self.bins[f]] = both.sum(axis=tuple(a for a in range(2, both.ndim) if a != k + 2))
         return out
 
     def split(self, tree: int, level: int, found: np.ndarray) -> None:

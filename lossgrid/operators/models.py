@@ -141,22 +141,13 @@ def train_pd(
 
 def train_boosted(table: DataFrame, features: Sequence[str] = FEATURES, rounds: int = 100, depth: int = 5, leaf: int = 10) -> dict[str, float]:
     """Boosted trees, one model per stage against the others; accuracy and weighted one-vs-rest AUC on the rest."""
-    assembler = _assembler(features)
-    train = assembler.transform(table.where("is_train"))
-    scored = assembler.transform(table.where("not is_train"))
-
-    def against_others(k: int):
-        boosted = GBTClassifier(
-            labelCol="is_stage", maxIter=rounds, maxDepth=depth, stepSize=0.1, minInstancesPerNode=leaf, seed=42,
-            predictionCol="_p",
-        ).setRawPredictionCol("_r").setProbabilityCol("_q")
-        return boosted.fit(train.withColumn("is_stage", (F.col("label") == k).cast("double")))
-
-    with ThreadPoolExecutor(3) as pool:
-        models = list(pool.map(against_others, range(3)))
-    for k, model in enumerate(models):
-        scored = model.transform(scored).withColumn(f"prob_stage_{k + 1}", vector_to_array("_q")[1]).drop("_p", "_r", "_q")
-    scored = materialised(scored.select("stage", *[f"prob_stage_{i}" for i in (1, 2, 3)]), "scored")
+    how = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.1, minInstancesPerNode=leaf, seed=42)
+    rows = table.select(*features, "label", F.when(F.col("is_train"), 0).otherwise(boost.TEST).alias("part"))
+    found = boost.fit(rows, features, [boost.Target(of=float(k)) for k in range(3)], how).scored
+    scored = found.select(
+        stage_label((F.col("label") + 1).cast("int")).alias("stage"),
+        *[(1.0 / (1.0 + F.exp(-2.0 * F.col(f"s{k}")))).alias(f"prob_stage_{k + 1}") for k in range(3)],
+    )
     probs = {f"STAGE_{i}": F.col(f"prob_stage_{i}") for i in (1, 2, 3)}
     predicted = stage_label(F.array_position(F.array(*probs.values()), F.greatest(*probs.values())).cast("int"))
     return {

@@ -1,5 +1,7 @@
 """Boosted trees against Spark's own, folds on all rows, and one job for all rounds."""
 
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.errors import PythonException
@@ -78,7 +80,7 @@ def test_tasks_can_talk_without_shared_files(rows, monkeypatch):
 
 
 def test_chunks_are_exact_however_full():
-    """Sums of a full chunk with the largest residuals, counts and residuals in one number."""
+    """Sums over chunks with the largest residuals."""
     n, bins = B.CHUNK, [2, 3]
     codes = np.stack([np.arange(n) % 2, np.arange(n) % 3]).astype(np.uint8)
     label = np.where(codes[0] == 1, 1.0, -1.0)
@@ -120,3 +122,25 @@ def test_pd_model_is_sparks_kind_and_keeps(spark, rows, tmp_path):
     said = [sorted(r["prediction"] for r in m.transform(rows).select("prediction").collect()) for m in (fit.model, again)]
     assert said[0] == said[1]
     assert fit.model.stages[-1].trees[0].depth <= 3
+
+
+def test_rounds_of_the_stages_models_are_one_job(spark):
+    """All rounds and models in one pass over Spark's scheduler: more rounds make no more jobs."""
+    table = spark.range(600).select(
+        F.col("id").alias("loan_id"), (F.col("id") % 3).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"),
+        F.concat(F.lit("STAGE_"), (F.col("id") % 3 + 1).cast("string")).alias("stage"),
+        (F.col("id") % 3).cast("double").alias("label"), (F.col("id") % 5 > 0).alias("is_train"),
+    )
+    sc, jobs = spark.sparkContext, []
+
+    def next_job() -> int:
+        sc.setJobGroup(name := uuid.uuid4().hex, "")
+        spark.range(1).collect()
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return max(sc.statusTracker().getJobIdsForGroup(name))
+
+    for rounds in (2, 6):
+        first = next_job()
+        assert M.train_boosted(table, ["x", "y"], rounds=rounds, depth=3) == {"accuracy": 1.0, "roc_auc": 1.0}
+        jobs.append(next_job() - first)
+    assert jobs[0] == jobs[1] > 1
